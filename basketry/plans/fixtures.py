@@ -27,7 +27,7 @@ def tickets(spark: SparkSession, sf_dir: str, anonymous: bool = False) -> DataFr
     ``anonymous`` takes the customer from the lines of some customers, which leaves
     these customers without a ticket.
     """
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
     discount = F.col("l_discount").cast("decimal(4,2)")
     customer = F.col("o_custkey")
     if anonymous:

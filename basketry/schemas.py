@@ -15,9 +15,9 @@ TICKETS = _struct(
     datekey=T.StringType(),
     ticketid=T.LongType(),
     productid=T.LongType(),
-    extendedamount=T.DecimalType(24, 4),
+    extendedamount=T.DecimalType(18, 4),
     originalamount=T.DecimalType(18, 2),
-    totaldiscount=T.DecimalType(23, 4),
+    totaldiscount=T.DecimalType(18, 4),
     quantity=T.DoubleType(),
 )
 
