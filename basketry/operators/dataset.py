@@ -124,12 +124,18 @@ class RetailTables:
         return found if segment and set(line) <= set(columns) else found.distinct()
 
     def _members(self, segment: Iterable[str], attributes: Iterable[str]) -> DataFrame:
-        """Predicted customers with ``attributes`` from the customer table."""
-        members = self.predictions.select("customerid", *segment)
+        """Predicted customers with ``attributes`` from the customer table.
+
+        Rebalancing detaches the result from the partitioning by customer that its own
+        join leaves behind. Both sides of the join with the lines then have a shuffle of
+        their own, without which adaptive execution would not split a hot customer; it
+        also knows the true size of the members and broadcasts a small table.
+        """
+        members = self.predictions.select("customerid", *segment).distinct()
         if attributes:
-            customers = self.customers.select("customerid", *attributes)
+            customers = self.customers.select("customerid", *attributes).distinct()
             members = members.join(customers, "customerid", "left")
-        return members.distinct()
+        return members.hint("rebalance")
 
     def _stores(self) -> DataFrame:
         return broadcast_within(self.stores.select("storeid", *STORE_COLUMNS).distinct())

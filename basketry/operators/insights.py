@@ -15,6 +15,24 @@ from basketry.operators.dataset import RetailTables, WrittenDataset
 
 Source = RetailTables | WrittenDataset
 
+# What the reports on people and the reports on lines read of the joined relation.
+PEOPLE_COLUMNS = ("segmento", "customerid", "age", "gender")
+LINE_COLUMNS = (
+    "segmento",
+    "customerid",
+    "ticketid",
+    "productid",
+    "originalamount",
+    "extendedamount",
+    "quantity",
+    "city",
+    "merchandisefamily",
+    "vatdescription",
+    "article",
+    "healthy",
+    "unhealthy",
+)
+
 TOP_FAMILIES = 10
 TOP_ARTICLES = 5
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -111,16 +111,24 @@ def run(
 
 
 def reports(
-    predictions: DataFrame, source: insights.Source, counts: DataFrame | None = None
+    predictions: DataFrame,
+    source: insights.Source,
+    people: insights.Source | None = None,
+    counts: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """All fifteen reports by name. ``counts`` may hold the family counts already."""
+    """All fifteen reports by name.
+
+    ``people`` may serve the reports on ages and genders, ``counts`` may hold the family
+    counts; both come from ``source`` if they are not given.
+    """
+    people = people or source
     counts = insights.family_counts(source) if counts is None else counts
     return {
         "spend_share": insights.spend_share(predictions),
         "customer_share": insights.customer_share(predictions),
         "rfm_means": insights.rfm_means(predictions),
-        "age_mean": insights.age_mean(source),
-        "gender_share": insights.gender_share(source),
+        "age_mean": insights.age_mean(people),
+        "gender_share": insights.gender_share(people),
         "top_families": insights.top_families(counts),
         "last_families": insights.last_families(counts),
         "products_per_ticket": insights.products_per_ticket(source),
@@ -130,16 +138,35 @@ def reports(
         "total_spend_millions": insights.total_spend_millions(source),
         "top_articles": insights.top_articles(source),
         "city_customers": insights.city_customers(source),
-        "age_gender_bands": insights.age_gender_bands(source),
+        "age_gender_bands": insights.age_gender_bands(people),
     }
 
 
 def write_reports(
-    spark: SparkSession, tables: RetailTables, output: str, fmt: str = "parquet"
+    spark: SparkSession,
+    tables: RetailTables,
+    output: str,
+    fmt: str = "parquet",
+    stage_tickets: bool = False,
 ) -> None:
-    """Joins the tables once and writes the reports to one folder each."""
+    """Joins the tables once and writes the reports to one folder each.
+
+    The joined lines keep only the columns that a report reads; customers with age and
+    gender are a table of their own. ``stage_tickets`` first copies the tickets to
+    Parquet, which pays off when they are read from a row format such as JSON.
+    """
     with Scratch(spark) as scratch:
-        source = WrittenDataset(scratch.table(tables.dataset(), "dataset"))
-        counts = scratch.table(insights.family_counts(source), "family_counts")
-        for name, report in reports(tables.predictions, source, counts).items():
+        used = ["customerid", "segmento", "prediction", "recency", "frequency", "monetary"]
+        tables = replace(
+            tables, predictions=scratch.table(tables.predictions.select(used), "predictions")
+        )
+        if stage_tickets:
+            tables = replace(tables, tickets=scratch.table(tables.tickets, "tickets"))
+        people = scratch.table(tables.distinct_rows(*insights.PEOPLE_COLUMNS), "people")
+        lines = scratch.table(tables.rows(*insights.LINE_COLUMNS), "lines")
+        counts = scratch.table(insights.family_counts(WrittenDataset(lines)), "family_counts")
+        written = reports(
+            tables.predictions, WrittenDataset(lines), WrittenDataset(people), counts
+        )
+        for name, report in written.items():
             writers.write_report(report, f"{output}/{name}", fmt)

@@ -95,6 +95,38 @@ _VIEWS = {
     JOIN (SELECT CAST(m_place // size AS INTEGER) AS chunk,
                  quantile_disc(m_quartile, 0.5) AS m_quartile FROM place GROUP BY 1) m
       ON r.chunk = m.chunk""",
+    "point": """
+    SELECT r, f, m, count(*) AS weight FROM scaled GROUP BY r, f, m""",
+    # Lloyd iterations over the distinct points: the centres of a step as one list. A
+    # centre without points stays; the last step moves no centre by more than 1e-4.
+    "fit": """
+    SELECT 0 AS step, TRUE AS moving,
+           list([(r_quartile - rm) / rs, (f_quartile - fm) / fs, (m_quartile - mm) / ms]
+                ORDER BY chunk) AS centers
+    FROM seed, scale
+    UNION ALL
+    SELECT step + 1,
+           max(pow(center[1] - centers[k][1], 2) + pow(center[2] - centers[k][2], 2)
+               + pow(center[3] - centers[k][3], 2)) > 1e-8,
+           list(center ORDER BY k)
+    FROM (
+      SELECT step, centers, k,
+             CASE WHEN sum(mine) = 0 THEN centers[k]
+                  ELSE [sum(mine * r) / sum(mine), sum(mine * f) / sum(mine),
+                        sum(mine * m) / sum(mine)] END AS center
+      FROM (
+        SELECT step, centers, k, r, f, m,
+               CASE WHEN list_position(distances, list_min(distances)) = k THEN weight ELSE 0 END
+                 AS mine
+        FROM (
+          SELECT step, centers, r, f, m, weight,
+                 list_transform(centers, lambda c: round(
+                   pow(r - c[1], 2) + pow(f - c[2], 2) + pow(m - c[3], 2), 9)) AS distances
+          FROM fit, point
+          WHERE moving AND step < 100),
+          (VALUES (1), (2), (3), (4), (5), (6)) AS clusters (k))
+      GROUP BY step, centers, k)
+    GROUP BY step""",
     "named": """
     SELECT * FROM (VALUES (0, 'best'), (1, 'ocassional'), (2, 'loyal'), (3, 'promising'),
                           (4, 'risk'), (5, 'lost')) AS names (prediction, segmento)""",
@@ -151,7 +183,7 @@ def _query(body: str) -> str:
             needed.add(name)
             texts.append(_VIEWS[name])
     views = ",\n".join(f"{name} AS ({text})" for name, text in _VIEWS.items() if name in needed)
-    return f"WITH {views}\n{body}"
+    return f"WITH RECURSIVE {views}\n{body}"
 
 
 def _families(order: str) -> str:
@@ -212,6 +244,15 @@ _BODIES = {
       FROM scaled, seed, scale)
     JOIN named ON chunk = prediction
     WHERE nearness = 1""",
+    "segments_kmeans": """
+    SELECT customerid, rfm_score, prediction, segmento,
+           '(' || CAST(prediction AS VARCHAR) || ') ' || segmento AS prediction_label
+    FROM (
+      SELECT customerid, rfm_score,
+             list_transform(centers, lambda c: round(
+               pow(r - c[1], 2) + pow(f - c[2], 2) + pow(m - c[3], 2), 9)) AS distances
+      FROM scaled, (SELECT centers FROM fit ORDER BY step DESC LIMIT 1))
+    JOIN named ON prediction = list_position(distances, list_min(distances)) - 1""",
     "analysis_dataset": """
     SELECT * REPLACE (CAST(originalamount AS DOUBLE) AS originalamount,
                       CAST(extendedamount AS DOUBLE) AS extendedamount,

@@ -180,7 +180,7 @@ def test_all_reports_from_tables_and_from_the_written_dataset(spark, folder, tra
         ),
         classification=frame(spark, schemas.CLASSIFICATION, ("f0", "YES", "NO"), ("f1", "NO", "YES")),
     )
-    jobs.write_reports(spark, tables, str(tmp_path))
+    jobs.write_reports(spark, tables, str(tmp_path), stage_tickets=True)
     direct = jobs.reports(tables.predictions, tables)
     assert len(direct) == 15
     assert sorted(p.name for p in tmp_path.iterdir()) == sorted(direct)
