@@ -65,17 +65,16 @@ def with_recency(facts: DataFrame, as_of: Column) -> DataFrame:
 
 
 def rfm(tickets: DataFrame, as_of: datetime.date | None = None) -> DataFrame:
-    """RFM table; recency counts from ``as_of``, by default the last date of the batch.
-
-    The batch date is a scalar subquery which reads the date column alone.
-    """
-    if as_of is None:
-        day = tickets.agg(F.max(purchase_date()).alias("last_date")).scalar()
-    else:
-        day = F.lit(as_of)
+    """RFM table; recency counts from ``as_of``, by default the last date of the batch."""
+    day = batch_date(tickets).scalar() if as_of is None else F.lit(as_of)
     return with_recency(customer_facts(tickets), day)
 
 
+def batch_date(tickets: DataFrame) -> DataFrame:
+    """Last date of the tickets, one row. Reads the date column and parses each key once."""
+    return tickets.select("datekey").distinct().agg(F.max(purchase_date()).alias("max_date"))
+
+
 def rfm_from_facts(facts: DataFrame, as_of: datetime.date | None = None) -> DataFrame:
     """RFM table from written customer facts, whose latest date is that of the batch."""
     if as_of is None:

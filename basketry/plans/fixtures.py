@@ -34,15 +34,20 @@ def tickets(spark: SparkSession, sf_dir: str, anonymous: bool = False) -> DataFr
         customer = _unless(customer % 97 == 0, customer)
     copies = F.when(F.col("l_orderkey") % 10 == 0, 2).otherwise(1)
     lines = _read(spark, sf_dir, "lineitem")
-    orders = _read(spark, sf_dir, "orders")
+    orders = _read(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("ticketid"),
+        customer.alias("customerid"),
+        F.col("o_orderpriority").alias("cardtype"),
+        F.col("o_orderdate").cast("date").cast("string").alias("datekey"),
+    )
     return (
-        lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+        lines.join(orders, lines["l_orderkey"] == orders["ticketid"])
         .select(
-            customer.alias("customerid"),
+            "customerid",
             F.col("l_suppkey").alias("storeid"),
-            F.col("o_orderpriority").alias("cardtype"),
-            F.col("o_orderdate").cast("date").cast("string").alias("datekey"),
-            F.col("o_orderkey").alias("ticketid"),
+            "cardtype",
+            "datekey",
+            "ticketid",
             F.col("l_partkey").alias("productid"),
             (price * (F.lit(1).cast("decimal(4,2)") - discount)).alias("extendedamount"),
             _unless(F.col("l_partkey") % 23 == 0, price).alias("originalamount"),

@@ -29,13 +29,8 @@ def read_products(spark: SparkSession, path: str, fmt: str = "json") -> DataFram
 
 
 def read_classification(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header line; columns are found by name."""
-    return (
-        spark.read.schema(schemas.CLASSIFICATION)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+    """CSV with a header line, all columns text and found by their names."""
+    return spark.read.option("header", True).csv(path).select(*schemas.CLASSIFICATION.names)
 
 
 def read_predictions(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:

@@ -2,6 +2,7 @@
 
 import csv
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,13 +161,32 @@ def test_dimension_readers(spark, tmp_path):
         table.write.json(f"{tmp_path}/{name}.json")
         assert rows_of(reader(spark, f"{tmp_path}/{name}.json")) == rows_of(table)
     path = tmp_path / "classes.csv"
-    path.write_text("merchandisefamily,healthy,unhealthy\nfruit,YES,NO\nsweets,NO,YES\n")
+    path.write_text("id,unhealthy,merchandisefamily,healthy\n1,NO,fruit,YES\n2,YES,sweets,NO\n")
     assert rows_of(readers.read_classification(spark, str(path))) == [
         ("fruit", "YES", "NO"),
         ("sweets", "NO", "YES"),
     ]
 
 
+def test_ticket_fields_in_json(spark, tmp_path):
+    (tmp_path / "tickets_1.json").write_text(
+        '{"customerid": 7, "ticketid": 1, "extendedamount": 12.34567, "quantity": 2, "till": "x"}\n'
+        '{"customerid": null, "datekey": "2020-02-01", "originalamount": 5}\n'
+    )
+    found = rows_of(
+        readers.read_tickets(spark, f"{tmp_path}/tickets_*.json"),
+        "customerid",
+        "datekey",
+        "extendedamount",
+        "originalamount",
+        "quantity",
+    )
+    assert found == [
+        (7, None, Decimal("12.3457"), None, 2.0),
+        (None, "2020-02-01", None, Decimal("5.00"), None),
+    ]
+
+
 def test_all_reports_from_tables_and_from_the_written_dataset(spark, folder, trained, tmp_path):
     tables = RetailTables(
         predictions=readers.read_predictions(spark, f"{folder}/train/all"),

@@ -73,7 +73,7 @@ def test_batch_date_reads_one_column(stored):
 
 def test_lines_combine_before_each_shuffle(stored):
     """Every shuffle of lines has a partial aggregate right below it."""
-    plan = _plan(rfm.rfm(stored.tickets)).splitlines()
+    plan = _plan(rfm.customer_facts(stored.tickets)).splitlines()
     below = [plan[i + 1] for i, line in enumerate(plan) if "Exchange hashpartitioning" in line]
     assert len(below) == 3
     assert all("HashAggregate" in line for line in below)
