@@ -155,10 +155,10 @@ _VIEWS = {
     FROM part""",
     "brand": "SELECT DISTINCT p_brand, CAST(substr(p_brand, 7) AS INTEGER) AS k FROM part",
     "class": """
-    SELECT p_brand AS merchandisefamily,
+    SELECT CASE WHEN k % 5 <> 0 THEN p_brand END AS merchandisefamily,
            CASE WHEN k % 7 <> 0 AND k % 2 = 0 THEN 'YES' ELSE 'NO' END AS healthy,
            CASE WHEN k % 7 <> 0 AND k % 2 = 1 THEN 'YES' ELSE 'NO' END AS unhealthy
-    FROM brand WHERE k % 5 <> 0""",
+    FROM brand""",
     "dataset": """
     SELECT DISTINCT p.segmento, p.prediction, t.ticketid, t.productid, t.customerid, t.storeid,
            t.originalamount, t.extendedamount, t.quantity, t.datekey, t.cardtype,
