@@ -24,7 +24,12 @@ def stored(spark, tmp_path_factory):
     """Tables stored as Parquet; one customer owns a third of the lines."""
     folder = tmp_path_factory.mktemp("plans")
     lines = [
-        {"customerid": 1 if i % 3 == 0 else i % 40 + 2, "ticketid": i // 2, "productid": i % 7, "storeid": i % 3}
+        {
+            "customerid": 1 if i % 3 == 0 else i % 40 + 2,
+            "ticketid": i // 2,
+            "productid": i % 7,
+            "storeid": i % 3,
+        }
         for i in range(6000)
     ]
     data = {
