@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import licences, mixing, secrets
+from basketry.llm import licences, mixing, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": secrets.op1_secret_scan,
         "op8_source_mixing": mixing.op8_source_mixing,
+        "op9_simhash_bktree": simhash.op9_simhash_bktree,
         "op10_license_scan": licences.op10_license_scan,
     }
 
