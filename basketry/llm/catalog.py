@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import decontaminate, licences, mixing, quality, secrets, simhash
+from basketry.llm import classifier, decontaminate, licences, mixing, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": secrets.op1_secret_scan,
         "op2_decontamination": decontaminate.op2_decontamination,
+        "op4_quality_classifier": classifier.op4_quality_classifier,
         "op7_quality_rules": quality.op7_quality_rules,
         "op8_source_mixing": mixing.op8_source_mixing,
         "op9_simhash_bktree": simhash.op9_simhash_bktree,

@@ -247,7 +247,7 @@ def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterato
     """Items in blocks of bounded size, one after the other through the driver.
 
     The benchmark is a stated set of queries; a block of it, never the whole, is held and
-    broadcast. A null text has no words; a null id is named ``null``.
+    sent to the tasks. A null text has no words; a null id is named ``null``.
     """
     held, size = [], 0
     for row in benchmark.select("item_id", "text").toLocalIterator():
@@ -266,8 +266,6 @@ HITS = "start array<int>, end array<int>, items array<string>"
 
 def _search(docs: DataFrame, schema: str, windows: Windows, output) -> DataFrame:
     """Maps shards of the rows of ``docs`` to ``output(batch, row numbers, words, hits)``."""
-    shared = docs.sparkSession.sparkContext.broadcast(windows)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             texts = texts_of(batch)
@@ -277,7 +275,7 @@ def _search(docs: DataFrame, schema: str, windows: Windows, output) -> DataFrame
                 while low + len(words) < len(texts) and size < SHARD_WORDS:
                     words.append(alnum_words(texts[low + len(words)]))
                     size += len(words[-1])
-                hits = shard_hits(words, shared.value)
+                hits = shard_hits(words, windows)
                 yield output(batch, low, words, hits)
                 low += len(words)
 

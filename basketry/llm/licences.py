@@ -242,11 +242,9 @@ def scan_licences(
     words, null places, empty labels and score 0. Repeated rows are scanned as they come;
     columns other than ``doc_id`` and ``text`` are not read. A narrow map without shuffle.
     """
-    spark = docs.sparkSession
-    scanner = spark.sparkContext.broadcast(Scanner(phrases, templates, chaining))
+    own = Scanner(phrases, templates, chaining)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        own = scanner.value
         for batch in batches:
             rows = []
             for text in texts_of(batch):

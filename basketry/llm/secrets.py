@@ -346,10 +346,10 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     are counted and digested alone; ``spans`` holds those of all rules. The scan is a
     narrow map: no shuffle, and a lost executor costs the tasks it ran.
     """
-    automaton = docs.sparkSession.sparkContext.broadcast(compile_rules(rules))
+    automaton = compile_rules(rules)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        scanner = Scanner(automaton.value)
+        scanner = Scanner(automaton)
         for batch in batches:
             texts = texts_of(batch)
             out: dict = {name: [] for name in ("base_sha256", "spans")}
