@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import classifier, decontaminate, licences, mixing, quality, secrets, simhash
+from basketry.llm import (
+    classifier,
+    decontaminate,
+    licences,
+    linededup,
+    mixing,
+    quality,
+    secrets,
+    simhash,
+    tokencounts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +26,8 @@ def queries() -> dict[str, Query]:
         "op1_secret_scan": secrets.op1_secret_scan,
         "op2_decontamination": decontaminate.op2_decontamination,
         "op4_quality_classifier": classifier.op4_quality_classifier,
+        "op5_line_dedup": linededup.op5_line_dedup,
+        "op6_token_counts": tokencounts.op6_token_counts,
         "op7_quality_rules": quality.op7_quality_rules,
         "op8_source_mixing": mixing.op8_source_mixing,
         "op9_simhash_bktree": simhash.op9_simhash_bktree,

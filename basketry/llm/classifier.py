@@ -261,7 +261,8 @@ def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
     scratch = Scratch(docs.sparkSession)
     measured = scratch.table(with_statistics(docs), "statistics")
     marks = labels.select("doc_id", "quality").where("quality IS NOT NULL").where(~held_out())
-    return score(measured, fit(measured.join(marks, "doc_id"), settings))
+    labelled = scratch.table(measured.join(marks, "doc_id"), "labelled")
+    return score(measured, fit(labelled, settings))
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

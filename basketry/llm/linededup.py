@@ -6,9 +6,10 @@ a band are candidates, and a candidate link counts only if the exact Jaccard sim
 the shingle sets reaches the threshold. Distributed union-find joins the links, and of
 each component only the first line of the first document stays.
 
-A band value that very many nodes share is no pair list: its nodes are split into cells by
-a second, finer signature, and inside a cell a node is compared with representatives only
-until it is linked, so the work grows with the nodes and what they differ in.
+Bands travel as two numbers a row, without text. Only bands that two nodes or more share
+go on, once for each set of nodes. A set of more than ``BLOCK`` nodes is cut into blocks
+and every pair of blocks meets in a task of its own: nothing is skipped, no task holds more
+than two blocks, and tasks report spanning forests, not pairs.
 """
 
 from __future__ import annotations
@@ -21,18 +22,26 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from basketry.functions.sizing import broadcast_within
 from basketry.functions.storage import Scratch
 from basketry.llm.components import connected_components
 from basketry.llm.tasks import map_arrow, table, texts_of
 
-SHINGLE = 5
+SHINGLE = 8
 THRESHOLD = 0.8
-BANDS = 16
+BANDS = 14
 ROWS = 4
-LEAST_CHARS = 12
+LEAST_CHARS = 10
+BLOCK = 4096
+SLICE = 1 << 16  # rows that a task hands over at once
 
-_FOLD = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 48 or 57 < c < 65 or 90 < c < 97 or 122 < c < 128 else c for c in range(256))
-_MIX = np.random.default_rng(11).integers(1, 2**63, size=(2, BANDS * ROWS), dtype=np.uint64) | np.uint64(1)
+# Lower-cases A-Z and blanks ASCII other than letters and digits.
+_FOLD = bytes(
+    c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
+    for c in range(256)
+)
+_MIX = np.random.default_rng(11).integers(1, 2**63, size=(2, BANDS * ROWS), dtype=np.uint64)
+_MIX |= np.uint64(1)
 
 
 def normal_form(line: bytes) -> bytes:
@@ -40,20 +49,296 @@ def normal_form(line: bytes) -> bytes:
     return b" ".join(line.translate(_FOLD).split())
 
 
-def shingle_hashes(line: bytes, size: int = SHINGLE) -> np.ndarray:
-    """Distinct hashes of the windows of ``size`` characters; a shorter line is one window."""
-    points = np.frombuffer(line.decode("utf-32-le" if False else "utf-8").encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+def node_of(form: bytes) -> int:
+    """Signed 64-bit number of a normal form."""
+    value = xxhash.xxh3_64_intdigest(form)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def shingles(form: bytes, size: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of the windows of ``size`` characters; shorter: one window."""
+    points = np.frombuffer(form.decode().encode("utf-32-le"), dtype="<u4").astype(np.uint64)
     if len(points) <= size:
-        windows = np.array([xxhash.xxh64_intdigest(line)], dtype=np.uint64)
-    else:
-        windows = np.zeros(len(points) - size + 1, dtype=np.uint64)
-        for i in range(size):
-            windows = windows * np.uint64(0x9E3779B97F4A7C15) + points[i : len(windows) + i]
-            windows ^= windows >> np.uint64(29)
+        return np.array([xxhash.xxh3_64_intdigest(form)], dtype=np.uint64)
+    windows = np.zeros(len(points) - size + 1, dtype=np.uint64)
+    for i in range(size):
+        windows = windows * np.uint64(0x9E3779B97F4A7C15) + points[i : len(windows) + i]
+        windows ^= windows >> np.uint64(29)
     return np.unique(windows)
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    """Least value of each of ``BANDS * ROWS`` mixed hashes."""
-    mixed = hashes[:, None] * _MIX[0] + _MIX[1]
-    return (mixed >> np.uint64(32)).min(axis=0)
+def bands(hashes: np.ndarray) -> np.ndarray:
+    """One number per band of a MinHash signature, the band's place mixed in."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for low in range(0, len(hashes), 4096):
+        mixed = hashes[low : low + 4096, None] * _MIX[0]
+        mixed ^= mixed >> np.uint64(32)
+        np.minimum(least, (mixed * _MIX[1]).min(axis=0), out=least)
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for part in least.reshape(BANDS, ROWS).T:
+        keys = (keys ^ part) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(31)
+    return keys.view(np.int64)
+
+
+def long_enough(form: bytes) -> bool:
+    return len(form) >= LEAST_CHARS and (form.isascii() or len(form.decode()) >= LEAST_CHARS)
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common / (len(a) + len(b) - common)
+
+
+def similar_forest(sets: list[np.ndarray], first: int, threshold: float) -> list[tuple[int, int]]:
+    """Links (index, index) that connect all sets whose similarity reaches the threshold.
+
+    Compares every set from ``first`` on with the ones before it, except where both are
+    connected already or their sizes rule the threshold out.
+    """
+    label = np.arange(len(sets))
+    sizes = np.array([len(s) for s in sets])
+    links = []
+    for i in range(max(first, 1), len(sets)):
+        fit = np.minimum(sizes[:i], sizes[i]) >= threshold * np.maximum(sizes[:i], sizes[i])
+        open_ = np.flatnonzero(fit)
+        while len(open_):
+            linked = next((k for k, j in enumerate(open_) if jaccard(sets[i], sets[j]) >= threshold), None)
+            if linked is None:
+                break
+            j = int(open_[linked])
+            links.append((i, j))
+            old, new = max(label[i], label[j]), min(label[i], label[j])
+            label[label == old] = new
+            open_ = open_[linked + 1 :]
+            open_ = open_[label[open_] != label[i]]
+    return links
+
+
+def _lines(text: bytes) -> Iterator[tuple[int, bytes]]:
+    """Number and normal form of the lines that take part."""
+    for number, line in enumerate(text.split(b"\n")):
+        form = normal_form(line)
+        if long_enough(form):
+            yield number, form
+
+
+def row_key() -> Column:
+    """Number of a row: rows equal in id and text are one document that came twice."""
+    return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit("")))
+
+
+def occurrences(docs: DataFrame) -> DataFrame:
+    """``row_key``, ``doc_id``, ``line_no``, ``node`` of every line that takes part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            keys, ids = batch.column("row_key").to_pylist(), batch.column("doc_id").to_pylist()
+            found = [
+                (keys[i], ids[i], number, node_of(form))
+                for i, text in enumerate(texts_of(batch))
+                for number, form in _lines(text)
+            ]
+            for low in range(0, len(found), SLICE):
+                names = ("row_key", "doc_id", "line_no", "node")
+                yield dict(zip(names, zip(*found[low : low + SLICE])))
+
+    rows = docs.select("doc_id", "text", row_key().alias("row_key"))
+    return map_arrow(rows, "row_key long, doc_id long, line_no int, node long", run)
+
+
+def banded(docs: DataFrame) -> DataFrame:
+    """``band``, ``node`` of every node, once for each batch that has it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            forms = {form for text in texts_of(batch) for _, form in _lines(text)}
+            nodes, keys = [], []
+            for form in forms:
+                nodes.append(node_of(form))
+                keys.append(bands(shingles(form)))
+                if len(nodes) * BANDS >= SLICE:
+                    yield {"band": np.concatenate(keys), "node": np.repeat(nodes, BANDS)}
+                    nodes, keys = [], []
+            if nodes:
+                yield {"band": np.concatenate(keys), "node": np.repeat(nodes, BANDS)}
+
+    return map_arrow(docs.select("text"), "band long, node long", run)
+
+
+def candidate_sets(found: DataFrame) -> DataFrame:
+    """``cell``, ``node``: nodes that share a band, once for each set of nodes.
+
+    Rows come sorted by band. Up to ``SLICE`` nodes of a band are held to number their set;
+    a larger one is passed on as it comes, numbered by its band.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, held, passing = None, [], False
+        out: list[pd.DataFrame] = []
+
+        def close() -> None:
+            nodes = np.unique(np.concatenate(held)) if held else np.zeros(0, np.int64)
+            if passing:
+                out.append(pd.DataFrame({"cell": key, "node": nodes}))
+            elif len(nodes) > 1:
+                out.append(pd.DataFrame({"cell": _number(nodes), "node": nodes}))
+
+        for frame in frames:
+            keys, nodes = frame["band"].to_numpy(), frame["node"].to_numpy()
+            cuts = np.flatnonzero(np.diff(keys)) + 1
+            for low, high in zip([0, *cuts], [*cuts, len(keys)]):
+                if low == high:
+                    continue
+                if keys[low] != key:
+                    close()
+                    key, held, passing = keys[low], [], False
+                if high - low > 1 or held or high == len(keys):
+                    held.append(nodes[low:high])
+                if sum(map(len, held)) > SLICE:
+                    passing = True
+                    close()
+                    held = []
+            if out:
+                yield pd.concat(out)
+                out = []
+        close()
+        if out:
+            yield pd.concat(out)
+
+    dealt = found.repartition("band").sortWithinPartitions("band", "node")
+    return dealt.mapInPandas(run, "cell long, node long").distinct()
+
+
+def _number(nodes: np.ndarray) -> int:
+    return int(np.frombuffer(xxhash.xxh3_64_digest(nodes.tobytes()), dtype=np.int64)[0])
+
+
+def blocks_of(cells: DataFrame) -> DataFrame:
+    """``cell``, ``low``, ``high``, ``side``, ``node``: each pair of blocks of a cell.
+
+    A cell of up to ``BLOCK`` nodes is the pair (0, 0)."""
+    sizes = cells.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    large = sizes.where("parts > 1")
+    rows = cells.join(broadcast_within(large), "cell", "left").select(
+        "cell", "node", F.coalesce("parts", F.lit(1)).alias("parts")
+    )
+    own = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    other = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return other.select(
+        "cell",
+        F.least("own", "other").alias("low"),
+        F.greatest("own", "other").alias("high"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"),
+        "node",
+    )
+
+
+def forms_of(docs: DataFrame) -> DataFrame:
+    """``node``, ``form`` of every node, once for each batch that has it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            forms = list({form for text in texts_of(batch) for _, form in _lines(text)})
+            for low in range(0, len(forms), SLICE):
+                part = forms[low : low + SLICE]
+                yield {"node": [node_of(x) for x in part], "form": [x.decode() for x in part]}
+
+    return map_arrow(docs.select("text"), "node long, form string", run)
+
+
+def verified_links(cells: DataFrame, forms: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``src``, ``dst`` that connect the nodes of each cell with similarity enough."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, held = None, []
+        for frame in frames:
+            keys = list(zip(frame["cell"], frame["low"], frame["high"]))
+            starts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
+            for start, end in zip(starts, [*starts[1:], len(keys)]):
+                if keys[start] != key and held:
+                    yield _links(pd.concat(held), threshold)
+                    held = []
+                key = keys[start]
+                held.append(frame.iloc[start:end])
+        if held:
+            yield _links(pd.concat(held), threshold)
+
+    texts = cells.join(forms, "node").dropDuplicates(["cell", "low", "high", "node"])
+    dealt = texts.repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high", "side", "node")
+    return dealt.mapInPandas(run, "src long, dst long")
+
+
+def _links(frame: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    nodes = frame["node"].to_numpy()
+    sets = [shingles(form.encode()) for form in frame["form"]]
+    # Pairs inside one block are compared where the block meets itself.
+    first = int((frame["side"] == 0).sum()) if frame["low"].iloc[0] != frame["high"].iloc[0] else 1
+    found = np.array(similar_forest(sets, first, threshold), dtype=np.int64).reshape(-1, 2)
+    return pd.DataFrame({"src": nodes[found[:, 0]], "dst": nodes[found[:, 1]]})
+
+
+def removed_lines(docs: DataFrame, scratch: Scratch, threshold: float = THRESHOLD) -> DataFrame:
+    """``row_key``, ``removed``: numbers of the lines that go from each row, ascending.
+
+    Of a component the line of the smallest (doc_id, row, line number) stays.
+    """
+    cells = scratch.table(candidate_sets(banded(docs)), "cells")
+    candidates = cells.select("node").distinct()
+    forms = forms_of(docs).join(candidates, "node", "left_semi")
+    links = scratch.table(verified_links(blocks_of(cells), forms, threshold), "links")
+    members = connected_components(links, scratch)
+    lines = occurrences(docs).join(broadcast_within(members), "node", "left").select(
+        "row_key", "doc_id", "line_no", F.coalesce("component", "node").alias("component")
+    )
+    lines = scratch.table(lines, "lines")
+    place = F.struct("doc_id", "row_key", "line_no")
+    first = lines.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = scratch.table(first.select("component", "first"), "first")
+    gone = lines.join(first, "component").where(
+        ~(F.col("first.row_key").eqNullSafe(F.col("row_key")) & (F.col("first.line_no") == F.col("line_no")))
+    )
+    return gone.groupBy("row_key").agg(F.array_sort(F.collect_set("line_no")).alias("removed"))
+
+
+def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Rows of ``docs`` with ``text`` cleaned, and ``n_lines``, ``n_removed``, ``removed``.
+
+    Lines of fewer than ``LEAST_CHARS`` characters in normal form, blank ones among them,
+    always stay. A null text stays null. Rows equal in id and text are one document twice:
+    both keep the same lines. The other columns are carried along (one named like an added
+    column is replaced). An empty table gives an empty one. The text itself is shuffled
+    once at the end, or not at all where the removed lines measure little.
+    """
+    scratch = Scratch(docs.sparkSession)
+    rows = docs.select("doc_id", "text")
+    gone = scratch.table(removed_lines(rows, scratch, threshold), "removed")
+    gone = gone.select(F.col("row_key").alias("l_key"), F.col("removed").alias("l_removed"))
+    kept = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed", "removed")]
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("l_row")
+    near = broadcast_within(gone) if _small(gone) else gone
+    joined = docs.select(row, row_key().alias("l_own")).join(near, F.col("l_own") == F.col("l_key"), "left")
+    split = joined.select(
+        "l_row",
+        F.split(F.col("l_row.text"), "\n").alias("l_lines"),
+        F.coalesce("l_removed", F.array().cast("array<int>")).alias("l_removed"),
+    )
+    places = F.array_except(F.sequence(F.lit(0), F.size("l_lines") - 1), "l_removed")
+    rest = F.array_join(F.transform(places, lambda i: F.get("l_lines", i)), "\n")
+    return split.select(
+        *[F.col("l_row")[c].alias(c) for c in kept],
+        F.when(F.col("l_row.text").isNotNull(), rest).alias("text"),
+        F.coalesce(F.when(F.col("l_row.text").isNotNull(), F.size("l_lines")), F.lit(0)).alias("n_lines"),
+        F.size("l_removed").alias("n_removed"),
+        F.array_join(F.col("l_removed").cast("array<string>"), ",").alias("removed"),
+    )
+
+
+def _small(gone: DataFrame, limit: int = 32 << 20) -> bool:
+    """Whether the lists of removed lines are small enough to go to every executor."""
+    size = gone.agg(F.sum(F.size("l_removed") * 4 + 48)).first()[0]
+    return (size or 0) <= limit
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents"))
