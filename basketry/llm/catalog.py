@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.llm import (
+    chat,
     classifier,
     decontaminate,
     licences,
@@ -25,6 +26,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": secrets.op1_secret_scan,
         "op2_decontamination": decontaminate.op2_decontamination,
+        "op3_chat_format": chat.op3_chat_format,
         "op4_quality_classifier": classifier.op4_quality_classifier,
         "op5_line_dedup": linededup.op5_line_dedup,
         "op6_token_counts": tokencounts.op6_token_counts,
@@ -36,4 +38,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_source_mixing": mixing.OP8_SQL}
+    return {"op3_chat_format": chat.OP3_SQL, "op8_source_mixing": mixing.OP8_SQL}

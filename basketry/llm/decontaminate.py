@@ -13,15 +13,16 @@ them. A break ends every comparison of suffixes, so equal documents do not slow
 
 from __future__ import annotations
 
-import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketry.llm.tasks import alnum_words, map_arrow, table, texts_of
+from basketry.llm.tasks import alnum_words, map_arrow, table, texts_of, with_length
 
 WINDOW = 10
 SAMPLING = 8
@@ -261,9 +262,6 @@ def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterato
         yield held
 
 
-HITS = "start array<int>, end array<int>, items array<string>"
-
-
 def _search(docs: DataFrame, schema: str, windows: Windows, output) -> DataFrame:
     """Maps shards of the rows of ``docs`` to ``output(batch, row numbers, words, hits)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -357,5 +355,47 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
     )
 
 
+_WORD_BYTES = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+
+
+def cut_spans(text: str, starts: list[int], ends: list[int]) -> str:
+    """The text without the words of the spans and what stands between them.
+
+    What is left on both sides is joined by a line break if the gap had one, else a blank.
+    """
+    data = text.encode()
+    places = [m.span() for m in _WORD_BYTES.finditer(data)]
+    parts, at = [], 0
+    for start, end in zip(starts, ends):
+        low, high = places[start][0], places[end - 1][1]
+        follow = places[end][0] if end < len(places) else len(data)
+        parts.append(data[at:low])
+        between = data[high:follow]
+        parts.append(b"\n" if b"\n" in between else b" " if low > at and follow < len(data) else b"")
+        at = follow
+    parts.append(data[at:])
+    return b"".join(parts).decode()
+
+
+def without_passages(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
+    """``docs`` with the hit spans cut out of the texts, in the columns of ``docs``.
+
+    A text without hits stays as it is, a null text too; ``n_chars`` follows the text. A
+    narrow map: nothing is shuffled.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("c_row")
+    found = find_contamination(docs.select("text", row), benchmark, width)
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+        return pd.Series([cut_spans(t, s, e) if len(s) else t for t, s, e in zip(texts, starts, ends)])
+
+    text = cut("text", "d_start", "d_end")
+    cleaned = found.select(
+        *[(text if c == "text" else F.col("c_row")[c]).alias(c) for c in docs.columns]
+    )
+    return with_length(cleaned)
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

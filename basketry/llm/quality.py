@@ -116,8 +116,12 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_marks": F.length(F.regexp_replace(value, r"[^!?:;0-9]+", "")).cast("long"),
         }
     )
-    repeats = _repeat_words(F.col("q_words"), F.col("n_words"))
-    return counted.withColumn("n_repeat_words", repeats).drop("q_words", "q_lines")
+    repeats = _bind(F.col("q_words"), lambda w: _repeat_words(w, F.size(w)))
+    # A filter on the statistics stays above ``q_row_no``, so nothing is computed twice for it.
+    found = counted.withColumns(
+        {"n_repeat_words": repeats, "q_row_no": F.monotonically_increasing_id()}
+    )
+    return found.drop("q_words", "q_lines")
 
 
 def with_base(docs: DataFrame, rules: Rules) -> DataFrame:
@@ -333,7 +337,7 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     once; statistics, vectors and estimates are written to the shared folder.
     """
     scratch = Scratch(docs.sparkSession)
-    measured = scratch.table(_measured(docs, rules, F.col("doc_id")), "statistics")
+    measured = scratch.table(_measured(docs, rules, F.col("doc_id")).drop("q_row_no"), "statistics")
     judged = judge(measured, estimates(measured, rules, scratch), rules)
     return judged.select("doc_id", *STATISTICS, "base_failed", "kept", F.round("distance", 6).alias("distance"))
 
@@ -345,11 +349,11 @@ def keep_quality(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     less than shuffling them to a verdict joined by ``doc_id``, and ids may repeat.
     """
     scratch = Scratch(docs.sparkSession)
-    measured = scratch.table(_measured(docs, rules), "statistics")
+    measured = scratch.table(_measured(docs, rules).drop("q_row_no"), "statistics")
     found = estimates(measured, rules, scratch)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("q_row")
     judged = judge(_measured(docs, rules, row), found, rules)
-    return judged.where("kept").select(*[F.col("q_row")[c].alias(c) for c in docs.columns])
+    return judged.where("kept AND q_row_no >= 0").select(*[F.col("q_row")[c].alias(c) for c in docs.columns])
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

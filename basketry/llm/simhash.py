@@ -53,16 +53,23 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id`` and signed 64-bit ``simhash`` of each row; null counts as empty."""
+    return _keyed_fingerprints(docs.select("doc_id", "text"), shingle)
+
+
+def _keyed_fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
+    """``simhash`` beside the columns of numbers that ``docs`` has besides ``text``."""
+    names = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             found = [fingerprint(t, shingle) for t in texts_of(batch)]
             yield {
-                "doc_id": batch.column("doc_id"),
+                **{c: batch.column(c) for c in names},
                 "simhash": np.array(found, dtype=np.uint64).view(np.int64),
             }
 
-    return map_arrow(docs.select("doc_id", "text"), "doc_id long, simhash long", run)
+    schema = ", ".join([f"{c} long" for c in names] + ["simhash long"])
+    return map_arrow(docs, schema, run)
 
 
 class BKTree:
@@ -200,26 +207,57 @@ def simhash_components(
     """
     scratch = Scratch(docs.sparkSession)
     marked = scratch.table(fingerprints(docs, shingle), "fingerprints")
+    named = scratch.table(_components(marked, radius, scratch), "named")
+    return marked.join(named, "simhash").select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("simhash")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
+
+
+def _components(marked: DataFrame, radius: int, scratch: Scratch) -> DataFrame:
+    """``simhash``, ``component`` (a fingerprint of it), ``component_id`` (smallest id)."""
     distinct = scratch.table(
         marked.groupBy("simhash").agg(F.min("doc_id").alias("first_id")), "distinct"
     )
     links = scratch.table(fingerprint_links(distinct.select("simhash"), radius), "links")
-    members = connected_components(links, scratch)
-    grouped = distinct.join(members, distinct["simhash"] == members["node"], "left").select(
-        "simhash", "first_id", F.coalesce("component", "simhash").alias("component")
-    )
-    linked = grouped.join(members.select(F.col("component").alias("head")).distinct(),
-                          F.col("component") == F.col("head"), "left_semi")
-    heads = linked.groupBy("component").agg(F.min("first_id").alias("least"))
-    named = grouped.join(heads, "component", "left").select(
-        "simhash", F.coalesce("least", "first_id").alias("component_id")
+    members = scratch.table(connected_components(links, scratch), "members")
+    linked = members.join(distinct, F.col("node") == F.col("simhash"))
+    heads = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    # Most fingerprints have no link; they stand for themselves.
+    named = linked.select("simhash", "component").join(heads, "component")
+    alone = distinct.join(members.select("node"), F.col("simhash") == F.col("node"), "left_anti")
+    return named.select("simhash", "component", "component_id").unionByName(
+        alone.select("simhash", F.col("simhash").alias("component"), F.col("first_id").alias("component_id"))
     )
-    named = scratch.table(named, "named")
-    return marked.join(named, "simhash").select(
-        "doc_id",
-        F.lpad(F.lower(F.hex("simhash")), 16, "0").alias("fingerprint"),
-        "component_id",
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """Rows of ``docs``, of each component only one: that of the smallest id, and of rows
+    with one id the first by text.
+
+    A row stays if it is the first of its component; the few numbers that name the rows to
+    keep are written, and the documents meet them by a number of id and text. Rows equal
+    in both are one document that came twice, of which one stays.
+    """
+    scratch = Scratch(docs.sparkSession)
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit("")))
+    keyed = docs.select("doc_id", "text", key.alias("s_key"))
+    marked = scratch.table(_keyed_fingerprints(keyed, shingle), "keyed")
+    named = scratch.table(_components(marked.select("doc_id", "simhash"), radius, scratch), "heads")
+    # Every component has one fingerprint that stands for it.
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "s_key")
+    first = (
+        marked.join(named, "simhash")
+        .groupBy("component")
+        .agg(F.min(place)["s_key"].alias("s_key"))
+        .select("s_key")
     )
+    first = scratch.table(first, "first")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("s_row")
+    rows = docs.select(row, key.alias("s_own"))
+    kept = rows.join(first, F.col("s_own") == F.col("s_key")).dropDuplicates(["s_own"])
+    return kept.select(*[F.col("s_row")[c].alias(c) for c in docs.columns])
 
 
 def op9_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -52,3 +52,10 @@ def map_arrow(
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """UTF-8 bytes of a string column, null as empty."""
     return [t or b"" for t in batch.column(name).cast(pa.binary()).to_pylist()]
+
+
+def with_length(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``n_chars``, where there is one, set to the length of the text."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast("long"))
