@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from basketry.functions.sizing import broadcast_within
 from basketry.functions.storage import Scratch
 from basketry.llm.components import connected_components
-from basketry.llm.tasks import map_arrow, table, texts_of
+from basketry.llm.tasks import map_arrow, table, texts_of, with_length
 
 SHINGLE = 8
 THRESHOLD = 0.8
@@ -33,15 +33,17 @@ BANDS = 14
 ROWS = 4
 LEAST_CHARS = 10
 BLOCK = 4096
-SLICE = 1 << 16  # rows that a task hands over at once
+SLICE = 1 << 16  # rows that a task hands over at once, or holds of one band
 
 # Lower-cases A-Z and blanks ASCII other than letters and digits.
 _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
     for c in range(256)
 )
-_MIX = np.random.default_rng(11).integers(1, 2**63, size=(2, BANDS * ROWS), dtype=np.uint64)
-_MIX |= np.uint64(1)
+_PRIME = np.uint64(0x9E3779B97F4A7C15)
+# Bins that an empty bin asks in turn.
+_PROBES = np.random.default_rng(11).integers(0, BANDS * ROWS, size=(64, BANDS * ROWS))
+_NONE = np.iinfo(np.uint64).max
 
 
 def normal_form(line: bytes) -> bytes:
@@ -55,29 +57,55 @@ def node_of(form: bytes) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def shingles(form: bytes, size: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of the windows of ``size`` characters; shorter: one window."""
-    points = np.frombuffer(form.decode().encode("utf-32-le"), dtype="<u4").astype(np.uint64)
-    if len(points) <= size:
-        return np.array([xxhash.xxh3_64_intdigest(form)], dtype=np.uint64)
-    windows = np.zeros(len(points) - size + 1, dtype=np.uint64)
-    for i in range(size):
-        windows = windows * np.uint64(0x9E3779B97F4A7C15) + points[i : len(windows) + i]
-        windows ^= windows >> np.uint64(29)
-    return np.unique(windows)
-
-
-def bands(hashes: np.ndarray) -> np.ndarray:
-    """One number per band of a MinHash signature, the band's place mixed in."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for low in range(0, len(hashes), 4096):
-        mixed = hashes[low : low + 4096, None] * _MIX[0]
-        mixed ^= mixed >> np.uint64(32)
-        np.minimum(least, (mixed * _MIX[1]).min(axis=0), out=least)
-    keys = np.arange(BANDS, dtype=np.uint64)
-    for part in least.reshape(BANDS, ROWS).T:
-        keys = (keys ^ part) * np.uint64(0x9E3779B97F4A7C15)
-        keys ^= keys >> np.uint64(31)
+def shingles(form: str, size: int = SHINGLE) -> frozenset[str]:
+    """Windows of ``size`` characters; a shorter line is one window."""
+    return frozenset([form[i : i + size] for i in range(max(1, len(form) - size + 1))])
+
+
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    found = (a * _PRIME + b) * _PRIME
+    found ^= found >> np.uint64(29)
+    return found
+
+
+def signatures(forms: list[bytes]) -> np.ndarray:
+    """MinHash by one permutation: least hash of a line's shingles in each of
+    ``BANDS * ROWS`` bins; an empty bin takes the value of the first filled bin it asks."""
+    bins = BANDS * ROWS
+    texts = [form.decode() for form in forms]
+    # A line shorter than a shingle is filled up and so becomes one window.
+    texts = [t if len(t) >= SHINGLE else t.ljust(SHINGLE, "\0") for t in texts]
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    windows, width = points, 1
+    while width < SHINGLE:  # windows of 1, 2, 4, 8 characters from two halves
+        windows = _mixed(windows[:-width], windows[width:])
+        width *= 2
+    windows = (windows ^ windows >> np.uint64(32)) * _PRIME
+    counts = sizes - SHINGLE + 1
+    line = np.repeat(np.arange(len(texts)), counts)
+    starts = np.cumsum(sizes) - sizes
+    at = np.arange(len(line)) + np.repeat(starts - (np.cumsum(counts) - counts), counts)
+    hashes = windows[at]
+    bin_ = ((hashes >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
+    least = np.full(len(texts) * bins, _NONE, dtype=np.uint64)
+    np.minimum.at(least, line * bins + bin_, hashes)
+    least = least.reshape(-1, bins)
+    own = least.copy()
+    for probe in [*_PROBES, *((np.arange(bins) + k) % bins for k in range(1, bins))]:
+        rows, empty = np.nonzero(least == _NONE)
+        if not len(rows):
+            break
+        least[rows, empty] = own[rows, probe[empty]]
+    return least
+
+
+def bands(forms: list[bytes]) -> np.ndarray:
+    """For each line one number per band of its signature, the band's place mixed in."""
+    parts = signatures(forms).reshape(-1, BANDS, ROWS)
+    keys = np.tile(np.arange(BANDS, dtype=np.uint64), (len(forms), 1))
+    for row in range(ROWS):
+        keys = _mixed(keys, parts[:, :, row])
     return keys.view(np.int64)
 
 
@@ -85,12 +113,12 @@ def long_enough(form: bytes) -> bool:
     return len(form) >= LEAST_CHARS and (form.isascii() or len(form.decode()) >= LEAST_CHARS)
 
 
-def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    common = len(np.intersect1d(a, b, assume_unique=True))
+def jaccard(a: frozenset, b: frozenset) -> float:
+    common = len(a & b)
     return common / (len(a) + len(b) - common)
 
 
-def similar_forest(sets: list[np.ndarray], first: int, threshold: float) -> list[tuple[int, int]]:
+def similar_forest(sets: list[frozenset], first: int, threshold: float) -> list[tuple[int, int]]:
     """Links (index, index) that connect all sets whose similarity reaches the threshold.
 
     Compares every set from ``first`` on with the ones before it, except where both are
@@ -152,16 +180,17 @@ def banded(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            forms = {form for text in texts_of(batch) for _, form in _lines(text)}
-            nodes, keys = [], []
-            for form in forms:
-                nodes.append(node_of(form))
-                keys.append(bands(shingles(form)))
-                if len(nodes) * BANDS >= SLICE:
-                    yield {"band": np.concatenate(keys), "node": np.repeat(nodes, BANDS)}
-                    nodes, keys = [], []
-            if nodes:
-                yield {"band": np.concatenate(keys), "node": np.repeat(nodes, BANDS)}
+            forms = list({form for text in texts_of(batch) for _, form in _lines(text)})
+            low = 0
+            while low < len(forms):
+                high, size = low, 0
+                while high < len(forms) and size < SLICE * 8 and high - low < SLICE // BANDS:
+                    size += len(forms[high])
+                    high += 1
+                part = forms[low:high]
+                nodes = np.array([node_of(x) for x in part], dtype=np.int64)
+                yield {"band": bands(part).ravel(), "node": np.repeat(nodes, BANDS)}
+                low = high
 
     return map_arrow(docs.select("text"), "band long, node long", run)
 
@@ -169,49 +198,52 @@ def banded(docs: DataFrame) -> DataFrame:
 def candidate_sets(found: DataFrame) -> DataFrame:
     """``cell``, ``node``: nodes that share a band, once for each set of nodes.
 
-    Rows come sorted by band. Up to ``SLICE`` nodes of a band are held to number their set;
-    a larger one is passed on as it comes, numbered by its band.
+    Rows come sorted by band. A run that a batch ends in is held for the next batch, up to
+    ``SLICE`` nodes; a longer one is passed on as it comes, numbered by its band.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, held, passing = None, [], False
-        out: list[pd.DataFrame] = []
-
-        def close() -> None:
-            nodes = np.unique(np.concatenate(held)) if held else np.zeros(0, np.int64)
-            if passing:
-                out.append(pd.DataFrame({"cell": key, "node": nodes}))
-            elif len(nodes) > 1:
-                out.append(pd.DataFrame({"cell": _number(nodes), "node": nodes}))
-
+        keys = nodes = np.zeros(0, dtype=np.int64)
+        passing = None
         for frame in frames:
-            keys, nodes = frame["band"].to_numpy(), frame["node"].to_numpy()
-            cuts = np.flatnonzero(np.diff(keys)) + 1
-            for low, high in zip([0, *cuts], [*cuts, len(keys)]):
-                if low == high:
-                    continue
-                if keys[low] != key:
-                    close()
-                    key, held, passing = keys[low], [], False
-                if high - low > 1 or held or high == len(keys):
-                    held.append(nodes[low:high])
-                if sum(map(len, held)) > SLICE:
-                    passing = True
-                    close()
-                    held = []
-            if out:
-                yield pd.concat(out)
-                out = []
-        close()
-        if out:
-            yield pd.concat(out)
+            keys = np.concatenate([keys, frame["band"].to_numpy()])
+            nodes = np.concatenate([nodes, frame["node"].to_numpy()])
+            if not len(keys):
+                continue
+            cut = int(np.searchsorted(keys, keys[-1]))  # start of the open run
+            yield _sets(keys[:cut], nodes[:cut], passing)
+            if cut:
+                passing = None
+            keys, nodes = keys[cut:], np.unique(nodes[cut:])
+            keys = keys[: len(nodes)]
+            if len(nodes) > SLICE:
+                passing = int(keys[0])
+                yield _sets(keys, nodes, passing)
+                keys, nodes = keys[:0], nodes[:0]
+        yield _sets(keys, nodes, passing)
 
     dealt = found.repartition("band").sortWithinPartitions("band", "node")
     return dealt.mapInPandas(run, "cell long, node long").distinct()
 
 
-def _number(nodes: np.ndarray) -> int:
-    return int(np.frombuffer(xxhash.xxh3_64_digest(nodes.tobytes()), dtype=np.int64)[0])
+def _sets(keys: np.ndarray, nodes: np.ndarray, passing: int | None) -> pd.DataFrame:
+    """Rows of the runs with two nodes or more; the number of a run is that of its set.
+
+    The run of band ``passing`` comes in pieces and is numbered by the band."""
+    fresh = np.ones(len(keys), dtype=bool)
+    fresh[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
+    keys, nodes = keys[fresh], nodes[fresh]
+    if not len(keys):
+        return pd.DataFrame({"cell": keys, "node": nodes})
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    counts = np.diff(np.append(starts, len(keys)))
+    values = nodes.view(np.uint64)
+    number = np.add.reduceat(_mixed(values ^ values >> np.uint64(31), values), starts)
+    number = _mixed(number, counts.astype(np.uint64)).view(np.int64)
+    pieces = keys[starts] == passing if passing is not None else np.zeros(len(starts), bool)
+    number[pieces] = passing if passing is not None else 0
+    use = np.repeat((counts > 1) | pieces, counts)
+    return pd.DataFrame({"cell": np.repeat(number, counts)[use], "node": nodes[use]})
 
 
 def blocks_of(cells: DataFrame) -> DataFrame:
@@ -253,29 +285,29 @@ def verified_links(cells: DataFrame, forms: DataFrame, threshold: float = THRESH
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, held = None, []
         for frame in frames:
-            keys = list(zip(frame["cell"], frame["low"], frame["high"]))
-            starts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
-            for start, end in zip(starts, [*starts[1:], len(keys)]):
-                if keys[start] != key and held:
-                    yield _links(pd.concat(held), threshold)
-                    held = []
-                key = keys[start]
-                held.append(frame.iloc[start:end])
-        if held:
-            yield _links(pd.concat(held), threshold)
+            links: list[tuple[int, int]] = []
+            columns = [frame[c].tolist() for c in ("cell", "low", "high", "side", "node", "form")]
+            for cell, low, high, side, node, form in zip(*columns):
+                if (cell, low, high) != key:
+                    links += _links(key, held, threshold)
+                    key, held = (cell, low, high), []
+                held.append((side, node, form))
+            yield pd.DataFrame(links, columns=["src", "dst"])
+        yield pd.DataFrame(_links(key, held, threshold), columns=["src", "dst"])
 
     texts = cells.join(forms, "node").dropDuplicates(["cell", "low", "high", "node"])
     dealt = texts.repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high", "side", "node")
     return dealt.mapInPandas(run, "src long, dst long")
 
 
-def _links(frame: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    nodes = frame["node"].to_numpy()
-    sets = [shingles(form.encode()) for form in frame["form"]]
+def _links(key: tuple | None, rows: list[tuple[int, int, str]], threshold: float) -> list[tuple[int, int]]:
+    """Links between nodes of one cell, given as (side, node, form) by side."""
+    if len(rows) < 2:
+        return []
+    sets = [shingles(form) for _, _, form in rows]
     # Pairs inside one block are compared where the block meets itself.
-    first = int((frame["side"] == 0).sum()) if frame["low"].iloc[0] != frame["high"].iloc[0] else 1
-    found = np.array(similar_forest(sets, first, threshold), dtype=np.int64).reshape(-1, 2)
-    return pd.DataFrame({"src": nodes[found[:, 0]], "dst": nodes[found[:, 1]]})
+    first = 1 if key[1] == key[2] else sum(side == 0 for side, _, _ in rows)
+    return [(rows[i][1], rows[j][1]) for i, j in similar_forest(sets, first, threshold)]
 
 
 def removed_lines(docs: DataFrame, scratch: Scratch, threshold: float = THRESHOLD) -> DataFrame:
@@ -340,5 +372,11 @@ def _small(gone: DataFrame, limit: int = 32 << 20) -> bool:
     return (size or 0) <= limit
 
 
+def without_duplicate_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with cleaned texts, in the columns of ``docs``; ``n_chars`` follows the text."""
+    cleaned = dedup_lines(docs, threshold).select(*[f"`{c}`" for c in docs.columns])
+    return with_length(cleaned)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"))
