@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from basketry.plans import catalog, oracle
 
 SF_DIR = "/root/testdata/sf0.01"
 QUERIES = entry_points.queries()
@@ -49,7 +50,8 @@ def test_query_equals_sql(spark, database, name):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
+    assert set(ORACLE) <= set(QUERIES)
 
 
 def test_entry(spark):
