@@ -14,6 +14,10 @@ built in another order, with the same rows:
   without a ticket. Adaptive execution can split an oversized customer on the ticket
   side of an inner join, which it cannot on the inner side of an outer join.
 * Stores and products are broadcast where they measure small enough.
+
+Reports that only count lines or add amounts of products take ``sold`` or ``baskets``:
+lines are summed up per segment, store and product right after they met the customers,
+so neither the stores nor the products, whose keys are skewed, ever meet single lines.
 """
 
 from __future__ import annotations
@@ -57,6 +61,7 @@ class WrittenDataset:
     """The joined relation as a DataFrame that already exists, best as a written table."""
 
     dataset: DataFrame
+    written_baskets: DataFrame | None = None
 
     def rows(self, *columns: str) -> DataFrame:
         """Every row, cut down to ``columns``."""
@@ -66,6 +71,20 @@ class WrittenDataset:
         """The distinct rows of :meth:`rows`."""
         return self.rows(*columns).distinct()
 
+    def sold(self, *attributes: str) -> DataFrame:
+        """``lines`` and ``paid`` of all rows by segment, product and ``attributes``."""
+        return self.dataset.groupBy("segmento", "productid", *attributes).agg(*_line_sums())
+
+    def baskets(self) -> DataFrame:
+        """``bought``: distinct pairs of customer and ticket by segment and product."""
+        if self.written_baskets is not None:
+            return self.written_baskets
+        return _bought(self.distinct_rows("segmento", "customerid", "ticketid", "productid"))
+
+    def attributes(self, *attributes: str) -> DataFrame:
+        """Products with the distinct values of their ``attributes``."""
+        return self.distinct_rows("productid", *attributes).where("productid is not null")
+
 
 @dataclass(frozen=True)
 class RetailTables:
@@ -123,6 +142,35 @@ class RetailTables:
         # Distinct lines and dimensions stay distinct as long as their columns are kept.
         return found if segment and set(line) <= set(columns) else found.distinct()
 
+    def sold(self, *attributes: str) -> DataFrame:
+        """``lines`` and ``paid`` of all rows by segment, product and ``attributes``.
+
+        A store or product with several dimension rows repeats the sums as it would have
+        repeated the lines. Predictions without a ticket have no lines.
+        """
+        sums = (F.sum("lines").alias("lines"), F.sum("paid").alias("paid"))
+        return (
+            self.tickets.select(*LINE_COLUMNS)
+            .distinct()
+            .join(self._members(SEGMENT_COLUMNS, CUSTOMER_COLUMNS), "customerid")
+            .groupBy("segmento", "storeid", "productid")
+            .agg(*_line_sums())
+            .join(self._stores(), "storeid", "left")
+            .groupBy("segmento", "productid")
+            .agg(*sums)
+            .join(self._products(PRODUCT_COLUMNS + CLASS_COLUMNS), "productid", "left")
+            .select("segmento", "productid", *attributes, "lines", "paid")
+        )
+
+    def baskets(self) -> DataFrame:
+        """``bought``: distinct pairs of customer and ticket by segment and product."""
+        lines = self.tickets.select("customerid", "ticketid", "productid").distinct()
+        return _bought(lines.join(self._members(("segmento",), ()), "customerid"))
+
+    def attributes(self, *attributes: str) -> DataFrame:
+        """Products with the distinct values of their ``attributes``."""
+        return self._products(attributes)
+
     def _members(self, segment: Iterable[str], attributes: Iterable[str]) -> DataFrame:
         """Predicted customers with ``attributes`` from the customer table.
 
@@ -173,3 +221,11 @@ class RetailTables:
 
 def _among(columns: Iterable[str], group: Iterable[str]) -> tuple[str, ...]:
     return tuple(c for c in group if c in columns)
+
+
+def _line_sums() -> tuple[Column, Column]:
+    return F.count(F.lit(1)).alias("lines"), F.sum("extendedamount").alias("paid")
+
+
+def _bought(distinct: DataFrame) -> DataFrame:
+    return distinct.groupBy("segmento", "productid").agg(F.count(F.lit(1)).alias("bought"))

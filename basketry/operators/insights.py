@@ -39,7 +39,7 @@ TOP_ARTICLES = 5
 
 def spend_share(predictions: DataFrame) -> DataFrame:
     """Amount spent by segment and its fraction of the whole; summed as exact decimals."""
-    paid = F.col("monetary").cast("decimal(34,4)")
+    paid = F.col("monetary").cast("decimal(38,10)")
     return (
         predictions.groupBy("segmento")
         .agg(F.sum(paid).alias("spend"))
@@ -106,10 +106,10 @@ def gender_share(source: Source) -> DataFrame:
 def family_counts(source: Source) -> DataFrame:
     """Lines sold of each product family by segment."""
     return (
-        source.rows("segmento", "productid", "merchandisefamily")
+        source.sold("merchandisefamily")
         .where("merchandisefamily is not null")
         .groupBy("segmento", "merchandisefamily")
-        .agg(F.count("productid").alias("product_count"))
+        .agg(F.sum(F.when(F.col("productid").isNotNull(), F.col("lines")).otherwise(0)).alias("product_count"))
     )
 
 
@@ -138,16 +138,14 @@ def products_per_ticket(source: Source) -> DataFrame:
 
 def vat_share(source: Source) -> DataFrame:
     """Percentage of each VAT class among the products bought by a segment."""
-    rows = source.distinct_rows("segmento", "customerid", "ticketid", "productid", "vatdescription")
-    return _percentages(rows.where("vatdescription is not null"), "vatdescription")
+    rows = _bought(source, "vatdescription").where("vatdescription is not null")
+    return _percentages(rows, "vatdescription", products=F.sum("bought"))
 
 
 def health_share(source: Source) -> DataFrame:
     """Percentage of each healthy and unhealthy mark among the products bought."""
-    rows = source.distinct_rows(
-        "segmento", "customerid", "ticketid", "productid", "healthy", "unhealthy"
-    )
-    return _percentages(rows.where("healthy is not null"), "healthy", "unhealthy")
+    rows = _bought(source, "healthy", "unhealthy").where("healthy is not null")
+    return _percentages(rows, "healthy", "unhealthy", products=F.sum("bought"))
 
 
 def discount_share(source: Source) -> DataFrame:
@@ -167,19 +165,18 @@ def discount_share(source: Source) -> DataFrame:
 def total_spend_millions(source: Source) -> DataFrame:
     """Amount paid over all rows, in millions."""
     return (
-        source.rows("extendedamount")
-        .where("extendedamount is not null")
-        .agg((F.sum("extendedamount").cast("double") / 1_000_000).alias("total_in_millions"))
+        source.sold()
+        .agg((F.sum("paid").cast("double") / 1_000_000).alias("total_in_millions"))
     )
 
 
 def top_articles(source: Source, n: int = TOP_ARTICLES) -> DataFrame:
     """Articles with rank up to ``n`` by lines sold in a segment; ties share a rank."""
     counts = (
-        source.rows("segmento", "article")
+        source.sold("article")
         .where("article is not null")
         .groupBy("segmento", "article")
-        .agg(F.count("article").alias("product_count"))
+        .agg(F.sum("lines").alias("product_count"))
     )
     return _ranked(counts, F.desc("product_count"), n)
 
@@ -232,11 +229,17 @@ def _ranked(counts: DataFrame, order: Column, n: int) -> DataFrame:
     return counts.withColumn("rank", rank).where(F.col("rank") <= n)
 
 
-def _percentages(rows: DataFrame, *groups: str) -> DataFrame:
-    """Percentage that each group of rows with a product has in its segment."""
+def _bought(source: Source, *attributes: str) -> DataFrame:
+    """The baskets of a source with the distinct values of product ``attributes``."""
+    return source.baskets().join(source.attributes(*attributes), "productid")
+
+
+def _percentages(rows: DataFrame, *groups: str, products: Column | None = None) -> DataFrame:
+    """Percentage that each group has in the ``products`` of its segment, by default its
+    rows with a product."""
     return (
         rows.groupBy("segmento", *groups)
-        .agg(F.count("productid").alias("products"))
+        .agg((F.count("productid") if products is None else products).alias("products"))
         .select(
             "segmento",
             *groups,

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.mllib.clustering import KMeans, KMeansModel
+from pyspark.mllib.clustering import KMeansModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketry.functions.columns import SEGMENTS, nearest, segment_label, segment_name
@@ -16,6 +17,8 @@ from basketry.schemas import CENTROIDS
 
 N_CLUSTERS = len(SEGMENTS)
 SCORE_LEVELS = 4
+ITERATIONS = 100
+EPSILON = 1e-4
 
 Points = list[list[float]]
 
@@ -109,14 +112,46 @@ class Fit:
 
 
 def fit_segments(features: DataFrame, seeds: Points, clusters: int = N_CLUSTERS) -> Fit:
-    """K-Means on ``scaled_features`` from the given seeds, otherwise with default settings."""
+    """K-Means on ``scaled_features`` from the given seeds.
+
+    Scores have few levels, so all customers lie on at most ``SCORE_LEVELS`` cubed points.
+    One aggregate weights these; the iterations run on them alone.
+    """
     if len(seeds) != clusters:
         raise ValueError(
             f"{features.count()} customers give {len(seeds)} seeds for {clusters} clusters"
         )
+    most = SCORE_LEVELS ** len(SCORES)
     point = vector_to_array("scaled_features")
-    rows = features.select(*[F.get(point, i) for i in range(len(SCORES))]).rdd.map(tuple)
-    return Fit(KMeans.train(rows, clusters, initialModel=KMeansModel(seeds)), seeds)
+    axes = [F.get(point, i).alias(s) for i, s in enumerate(SCORES)]
+    weighted = features.select(*axes).groupBy(*SCORES).count().limit(most + 1).collect()
+    if len(weighted) > most:
+        raise ValueError(f"more than {most} different points: these are no standardised scores")
+    weighted.sort()
+    points = np.array([row[:-1] for row in weighted], dtype=float).reshape(-1, len(SCORES))
+    weights = np.array([row[-1] for row in weighted], dtype=float)
+    return Fit(KMeansModel(weighted_kmeans(points, weights, seeds).tolist()), seeds)
+
+
+def weighted_kmeans(points: np.ndarray, weights: np.ndarray, seeds: Points) -> np.ndarray:
+    """Centres after rounds of assignment and weighted means.
+
+    Ends when no centre moves by more than ``EPSILON``, or after ``ITERATIONS`` rounds. A
+    centre without points stays where it is; the lowest index wins a tie.
+    """
+    centers = np.array(seeds, dtype=float)
+    for _ in range(ITERATIONS):
+        distances = ((points[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2)
+        own = distances.argmin(axis=1)[:, None] == np.arange(len(centers))
+        mass = own * weights[:, None]
+        total = mass.sum(axis=0)
+        means = mass.T @ points / np.where(total > 0, total, 1)[:, None]
+        moved = np.where((total > 0)[:, None], means, centers)
+        done = (((moved - centers) ** 2).sum(axis=1) <= EPSILON**2).all()
+        centers = moved
+        if done:
+            break
+    return centers
 
 
 def assign(features: DataFrame, centroids: Sequence[Sequence[float]]) -> DataFrame:

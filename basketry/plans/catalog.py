@@ -11,7 +11,7 @@ from basketry.functions.storage import Scratch
 from basketry.operators import insights, rfm, segments
 from basketry.operators.scoring import SCORES, score_customers
 from basketry.plans import fixtures
-from basketry.sources.readers import read_thresholds
+from basketry.sources.readers import read_thresholds, read_tickets
 from basketry.sources.writers import write_thresholds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,15 @@ def rfm_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rfm.rfm(fixtures.tickets(spark, sf_dir))
 
 
+def json_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RFM of ticket lines that went through JSON with a number in each line.
+
+    Lines that differ only in that number are different lines."""
+    path = f"{Scratch(spark).folder}/tickets"
+    fixtures.tickets(spark, sf_dir, numbered=True).write.json(path)
+    return rfm.rfm(read_tickets(spark, path))
+
+
 def rfm_trim_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rfm.bounds_frame(spark, _bounded(spark, sf_dir)[1])
 
@@ -163,6 +172,7 @@ def queries() -> dict[str, Query]:
     return {
         "ticket_lines": ticket_lines,
         "rfm_table": rfm_table,
+        "json_tickets": json_tickets,
         "rfm_trim_bounds": rfm_trim_bounds,
         "rfm_trimmed": rfm_trimmed,
         "rfm_outliers": rfm_outliers,

@@ -21,11 +21,14 @@ def _unless(condition: Column, value: Column) -> Column:
     return F.when(~condition, value)
 
 
-def tickets(spark: SparkSession, sf_dir: str, anonymous: bool = False) -> DataFrame:
+def tickets(
+    spark: SparkSession, sf_dir: str, anonymous: bool = False, numbered: bool = False
+) -> DataFrame:
     """Order lines as ticket lines; the lines of every tenth order occur twice.
 
     ``anonymous`` takes the customer from the lines of some customers, which leaves
-    these customers without a ticket.
+    these customers without a ticket. ``numbered`` adds a field that numbers the copies
+    of a line where the order is divisible by 20, and is the same in all copies elsewhere.
     """
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     discount = F.col("l_discount").cast("decimal(4,2)")
@@ -53,9 +56,11 @@ def tickets(spark: SparkSession, sf_dir: str, anonymous: bool = False) -> DataFr
             _unless(F.col("l_partkey") % 23 == 0, price).alias("originalamount"),
             (price * discount).alias("totaldiscount"),
             F.col("l_quantity").alias("quantity"),
-            F.explode(F.array_repeat(F.lit(0), copies)).alias("copy"),
+            F.col("l_linenumber").alias("line"),
+            F.explode(F.sequence(F.lit(1), copies)).alias("copy"),
         )
-        .drop("copy")
+        .withColumn("line", F.when(F.col("ticketid") % 20 == 0, F.col("line") * 2 + F.col("copy")).otherwise(0))
+        .drop("copy", *([] if numbered else ["line"]))
     )
 
 

@@ -164,9 +164,9 @@ def write_reports(
             tables = replace(tables, tickets=scratch.table(tables.tickets, "tickets"))
         people = scratch.table(tables.distinct_rows(*insights.PEOPLE_COLUMNS), "people")
         lines = scratch.table(tables.rows(*insights.LINE_COLUMNS), "lines")
-        counts = scratch.table(insights.family_counts(WrittenDataset(lines)), "family_counts")
-        written = reports(
-            tables.predictions, WrittenDataset(lines), WrittenDataset(people), counts
-        )
+        baskets = scratch.table(WrittenDataset(lines).baskets(), "baskets")
+        source = WrittenDataset(lines, baskets)
+        counts = scratch.table(insights.family_counts(source), "family_counts")
+        written = reports(tables.predictions, source, WrittenDataset(people), counts)
         for name, report in written.items():
             writers.write_report(report, f"{output}/{name}", fmt)

@@ -212,6 +212,15 @@ _BODIES = {
            sum(quantity) AS quantity
     FROM line GROUP BY ALL""",
     "rfm_table": "SELECT * FROM rfm",
+    # Both copies of a line have numbers of their own in orders divisible by 20.
+    "json_tickets": """
+    SELECT customerid, recency, frequency, CAST(paid AS DOUBLE) AS monetary
+    FROM rfm
+    JOIN (SELECT customerid, sum(extendedamount) AS paid
+          FROM (SELECT customerid, extendedamount FROM ticket WHERE ticketid % 20 = 0
+                UNION ALL
+                SELECT customerid, extendedamount FROM line WHERE ticketid % 20 <> 0)
+          GROUP BY customerid) USING (customerid)""",
     "rfm_trim_bounds": """
     SELECT 'recency' AS metric, CAST(r AS DOUBLE) AS bound FROM bound
     UNION ALL SELECT 'frequency', CAST(f AS DOUBLE) FROM bound

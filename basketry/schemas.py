@@ -8,6 +8,9 @@ def _struct(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in columns.items()])
 
 
+# One type for all amounts, wide enough to keep them as written; sums stay exact.
+AMOUNT = T.DecimalType(28, 10)
+
 TICKETS = _struct(
     customerid=T.LongType(),
     storeid=T.LongType(),
@@ -15,9 +18,9 @@ TICKETS = _struct(
     datekey=T.StringType(),
     ticketid=T.LongType(),
     productid=T.LongType(),
-    extendedamount=T.DecimalType(18, 4),
-    originalamount=T.DecimalType(18, 2),
-    totaldiscount=T.DecimalType(18, 4),
+    extendedamount=AMOUNT,
+    originalamount=AMOUNT,
+    totaldiscount=AMOUNT,
     quantity=T.DoubleType(),
 )
 

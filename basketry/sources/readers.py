@@ -1,31 +1,65 @@
-"""Readers with fixed schemas; ``path`` may be a folder, a file or a glob."""
+"""Readers with fixed schemas; ``path`` may be a folder, a file or a glob.
+
+Values of known fields are read as text and cast. A value that its type cannot hold, an
+amount with too many decimals among them, stops the job that reads it and is named in
+the error, unless ``invalid="null"`` takes it as missing; :func:`invalid_values` counts
+such values beforehand.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.feature import StandardScalerModel
 from pyspark.mllib.clustering import KMeansModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from basketry import schemas
 from basketry.operators.rfm import METRICS, Thresholds
 
 
-def read_tickets(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """Ticket lines. Parquet or ORC instead of JSON lets later steps read single columns."""
-    return _read(spark, path, schemas.TICKETS, fmt)
+def read_tickets(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "json",
+    further: str | T.StructType | None = None,
+    ignore: Sequence[str] = (),
+    invalid: str = "raise",
+) -> DataFrame:
+    """Ticket lines with every field of the source, as lines count as equal only if all agree.
+
+    Fields beyond the known ones follow these, with their own names and types. For JSON
+    one pass over the files finds them; ``further`` (a schema, empty for none) saves it.
+    Fields in ``ignore`` are left out, and so out of the comparison. Parquet or ORC
+    instead of JSON needs no such pass and lets later steps read single columns.
+    """
+    return _read(spark, path, schemas.TICKETS, fmt, invalid, further, ignore)
+
+
+def read_customers(spark: SparkSession, path: str, fmt: str = "json", invalid: str = "raise") -> DataFrame:
+    return _read(spark, path, schemas.CUSTOMERS, fmt, invalid, "")
 
 
-def read_customers(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    return _read(spark, path, schemas.CUSTOMERS, fmt)
+def read_stores(spark: SparkSession, path: str, fmt: str = "json", invalid: str = "raise") -> DataFrame:
+    return _read(spark, path, schemas.STORES, fmt, invalid, "")
 
 
-def read_stores(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    return _read(spark, path, schemas.STORES, fmt)
+def read_products(spark: SparkSession, path: str, fmt: str = "json", invalid: str = "raise") -> DataFrame:
+    return _read(spark, path, schemas.PRODUCTS, fmt, invalid, "")
 
 
-def read_products(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    return _read(spark, path, schemas.PRODUCTS, fmt)
+def invalid_values(
+    spark: SparkSession, path: str, schema: T.StructType = schemas.TICKETS, fmt: str = "json"
+) -> dict[str, int]:
+    """How many values of each field its type cannot hold, over the whole source."""
+    raw = _raw(spark, path, schema, fmt, "")
+    counts = [
+        F.count_if(F.col(f.name).isNotNull() & _cast(f, raw.schema).isNull()).alias(f.name)
+        for f in schema
+        if f.name in raw.columns
+    ]
+    return raw.agg(*counts).first().asDict()
 
 
 def read_classification(spark: SparkSession, path: str) -> DataFrame:
@@ -34,7 +68,7 @@ def read_classification(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_predictions(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    return _read(spark, path, schemas.PREDICTIONS, fmt)
+    return spark.read.schema(schemas.PREDICTIONS).format(fmt).load(path)
 
 
 def read_thresholds(spark: SparkSession, path: str) -> Thresholds:
@@ -68,5 +102,69 @@ def read_scaler(path: str) -> StandardScalerModel:
     return StandardScalerModel.load(path)
 
 
-def _read(spark: SparkSession, path: str, schema: StructType, fmt: str) -> DataFrame:
-    return spark.read.schema(schema).format(fmt).load(path)
+def _read(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    fmt: str,
+    invalid: str,
+    further: str | T.StructType | None,
+    ignore: Sequence[str] = (),
+) -> DataFrame:
+    if invalid not in ("raise", "null"):
+        raise ValueError(f"invalid is 'raise' or 'null', not {invalid!r}")
+    raw = _raw(spark, path, schema, fmt, further)
+    others = [c for c in raw.columns if c not in schema.names and c not in ignore]
+    known = [
+        _checked(f, raw.schema, invalid).alias(f.name)
+        if f.name in raw.columns
+        else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in schema
+        if f.name not in ignore
+    ]
+    return raw.select(*known, *[F.col(f"`{c}`") for c in others])
+
+
+def _raw(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str, further: str | T.StructType | None
+) -> DataFrame:
+    """The source with all its fields; a text format gives the known ones as text."""
+    if fmt != "json":
+        found = spark.read.format(fmt).load(path)
+        return found if further is None else found.select(*[c for c in found.columns if c in schema.names])
+    if further is None:
+        further = spark.read.json(path).schema
+    elif isinstance(further, str):
+        further = T.StructType.fromDDL(further) if further else T.StructType()
+    others = [f for f in further if f.name not in schema.names]
+    texts = [T.StructField(name, T.StringType()) for name in schema.names]
+    return spark.read.schema(T.StructType([*texts, *others])).json(path)
+
+
+def _cast(field: T.StructField, given: T.StructType) -> Column:
+    """The field in its type; null where the type does not hold the value as it is."""
+    value, kind = F.col(field.name), field.dataType
+    if given[field.name].dataType == kind:
+        return value
+    text = value.cast("string")
+    if isinstance(kind, T.IntegralType):
+        # A whole number may be written as 3.0.
+        number = text.try_cast("decimal(38,10)")
+        return F.when(number == F.floor(number), number.try_cast(kind))
+    if isinstance(kind, T.DecimalType):
+        exact = text.try_cast(kind)
+        wide = text.try_cast(T.DecimalType(38, 38 - kind.precision + kind.scale))
+        return F.when(wide == exact, exact)
+    return text.try_cast(kind)
+
+
+def _checked(field: T.StructField, given: T.StructType, invalid: str) -> Column:
+    cast, value = _cast(field, given), F.col(field.name)
+    if invalid == "null" or given[field.name].dataType == field.dataType:
+        return cast
+    said = F.concat(
+        F.lit(f"{field.name} is no {field.dataType.simpleString()}: "), value.cast("string")
+    )
+    return F.when(value.isNull() | cast.isNotNull(), cast).otherwise(
+        F.raise_error(said).cast(field.dataType)
+    )

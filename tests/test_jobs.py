@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basketry import schemas
 from basketry.functions import storage
+from basketry.operators import rfm
 from basketry.operators.dataset import RetailTables, WrittenDataset
 from basketry.plans import jobs
 from basketry.plans.catalog import PERCENTILES
@@ -173,20 +174,59 @@ def test_ticket_fields_in_json(spark, tmp_path):
         '{"customerid": 7, "ticketid": 1, "extendedamount": 12.34567, "quantity": 2, "till": "x"}\n'
         '{"customerid": null, "datekey": "2020-02-01", "originalamount": 5}\n'
     )
+    tickets = readers.read_tickets(spark, f"{tmp_path}/tickets_*.json")
+    assert tickets.columns == [*schemas.TICKETS.names, "till"]
     found = rows_of(
-        readers.read_tickets(spark, f"{tmp_path}/tickets_*.json"),
-        "customerid",
-        "datekey",
-        "extendedamount",
-        "originalamount",
-        "quantity",
+        tickets, "customerid", "datekey", "extendedamount", "originalamount", "quantity", "till"
     )
     assert found == [
-        (7, None, Decimal("12.3457"), None, 2.0),
-        (None, "2020-02-01", None, Decimal("5.00"), None),
+        (7, None, Decimal("12.34567"), None, 2.0, "x"),
+        (None, "2020-02-01", None, Decimal("5"), None, None),
     ]
 
 
+def test_lines_that_differ_in_any_field_count_apart(spark, tmp_path):
+    line = '{"customerid": 1, "ticketid": 1, "datekey": "2020-01-01", "extendedamount": 5.0, "line": %d}\n'
+    (tmp_path / "t.json").write_text(line % 1 + line % 2 + line % 2)
+    path = f"{tmp_path}/t.json"
+
+    def paid(**options):
+        return rfm.rfm(readers.read_tickets(spark, path, **options)).first()["monetary"]
+
+    assert paid() == paid(further="line int") == 10.0
+    assert paid(ignore=["line"]) == paid(further="") == 5.0
+
+
+def test_amounts_keep_all_digits(spark, tmp_path):
+    (tmp_path / "t.json").write_text(
+        '{"originalamount": 1.004, "extendedamount": 1.0035, "totaldiscount": 1.00004}\n'
+        '{"extendedamount": 999999999999999.5}\n'
+    )
+    found = readers.read_tickets(spark, f"{tmp_path}/t.json")
+    assert set(rows_of(found, "originalamount", "extendedamount", "totaldiscount")) == {
+        (Decimal("1.004"), Decimal("1.0035"), Decimal("1.00004")),
+        (None, Decimal("999999999999999.5"), None),
+    }
+
+
+def test_values_of_other_types(spark, tmp_path):
+    path = f"{tmp_path}/t.json"
+    (tmp_path / "t.json").write_text('{"customerid": "2", "storeid": 3.0, "quantity": "2"}\n')
+    assert rows_of(readers.read_tickets(spark, path), "customerid", "storeid", "quantity") == [(2, 3, 2.0)]
+    (tmp_path / "t.json").write_text(
+        '{"customerid": 2.5, "storeid": "S1", "extendedamount": 0.12345678901}\n{"storeid": 4}\n'
+    )
+    for column in ("customerid", "storeid", "extendedamount"):
+        with pytest.raises(Exception, match=f"{column} is no"):
+            readers.read_tickets(spark, path).select(column).collect()
+    loose = readers.read_tickets(spark, path, invalid="null")
+    assert sorted(rows_of(loose, "customerid", "storeid", "extendedamount"), key=str) == [
+        (None, 4, None), (None, None, None)
+    ]
+    counts = readers.invalid_values(spark, path)
+    assert {k: n for k, n in counts.items() if n} == {"customerid": 1, "storeid": 1, "extendedamount": 1}
+
+
 def test_all_reports_from_tables_and_from_the_written_dataset(spark, folder, trained, tmp_path):
     tables = RetailTables(
         predictions=readers.read_predictions(spark, f"{folder}/train/all"),

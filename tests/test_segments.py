@@ -4,7 +4,8 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.mllib.clustering import KMeans, KMeansModel
 
 from basketry.functions.columns import nearest, segment_label, segment_name
 from basketry.operators import segments
@@ -163,3 +164,22 @@ def test_names_labels_and_fall_through(spark):
 def test_centroid_frame(spark):
     points = [list(map(float, p)) for p in itertools.permutations((1, 2, 3))]
     assert rows_of(segments.centroid_frame(spark, points)) == [(k, *p) for k, p in enumerate(points)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_weighted_kmeans_equals_the_trainer_of_spark(spark, seed):
+    rng = np.random.default_rng(seed)
+    points = np.unique(rng.normal(size=(40, 3)).round(3), axis=0)
+    weights = rng.integers(1, 20, len(points))
+    seeds = points[:6].tolist()
+    rows = spark.sparkContext.parallelize(np.repeat(points, weights, axis=0).tolist(), 2)
+    theirs = KMeans.train(rows, 6, initialModel=KMeansModel(seeds)).clusterCenters
+    ours = segments.weighted_kmeans(points, weights.astype(float), seeds)
+    assert np.allclose(ours, np.array(theirs), atol=1e-9)
+
+
+def test_fit_refuses_more_points_than_scores_allow(spark):
+    features = spark.range(100).selectExpr("array(double(id), 0D, 0D) AS p")
+    features = features.select(array_to_vector("p").alias("scaled_features"))
+    with pytest.raises(ValueError, match="64"):
+        segments.fit_segments(features, [[float(i), 0.0, 0.0] for i in range(6)])
