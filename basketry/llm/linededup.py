@@ -34,16 +34,25 @@ ROWS = 4
 LEAST_CHARS = 10
 BLOCK = 4096
 SLICE = 1 << 16  # rows that a task hands over at once, or holds of one band
+CHARS = 1 << 16  # bytes of lines whose signatures are computed at once
 
 # Lower-cases A-Z and blanks ASCII other than letters and digits.
 _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
     for c in range(256)
 )
+# The same, but keeps line breaks.
+_FOLD_LINES = _FOLD[:10] + b"\n" + _FOLD[11:]
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 # Bins that an empty bin asks in turn.
 _PROBES = np.random.default_rng(11).integers(0, BANDS * ROWS, size=(64, BANDS * ROWS))
 _NONE = np.iinfo(np.uint64).max
+# Odd factors that join two windows of one width to one of twice the width.
+_FACTORS = {
+    1: np.uint64(0xC2B2AE3D27D4EB4F),
+    2: np.uint64(0x165667B19E3779F9),
+    4: np.uint64(0x27D4EB2F165667C5),
+}
 
 
 def normal_form(line: bytes) -> bytes:
@@ -68,38 +77,64 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return found
 
 
-def signatures(forms: list[bytes]) -> np.ndarray:
-    """MinHash by one permutation: least hash of a line's shingles in each of
-    ``BANDS * ROWS`` bins; an empty bin takes the value of the first filled bin it asks."""
-    bins = BANDS * ROWS
-    texts = [form.decode() for form in forms]
-    # A line shorter than a shingle is filled up and so becomes one window.
-    texts = [t if len(t) >= SHINGLE else t.ljust(SHINGLE, "\0") for t in texts]
-    points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    windows, width = points, 1
+def _window_hashes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows of ``SHINGLE`` characters in the joined lines, sizes of the lines."""
+    whole = b"".join(lines)
+    if whole.isascii():
+        points = np.frombuffer(whole, np.uint8).astype(np.uint64)
+        sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    else:
+        points = np.frombuffer(whole.decode().encode("utf-32-le"), "<u4").astype(np.uint64)
+        sizes = np.fromiter((len(line.decode()) for line in lines), np.int64, len(lines))
+    width = 1
     while width < SHINGLE:  # windows of 1, 2, 4, 8 characters from two halves
-        windows = _mixed(windows[:-width], windows[width:])
+        points = points[:-width] * _FACTORS[width] + points[width:]
         width *= 2
-    windows = (windows ^ windows >> np.uint64(32)) * _PRIME
-    counts = sizes - SHINGLE + 1
-    line = np.repeat(np.arange(len(texts)), counts)
-    starts = np.cumsum(sizes) - sizes
-    at = np.arange(len(line)) + np.repeat(starts - (np.cumsum(counts) - counts), counts)
-    hashes = windows[at]
-    bin_ = ((hashes >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
-    least = np.full(len(texts) * bins, _NONE, dtype=np.uint64)
-    np.minimum.at(least, line * bins + bin_, hashes)
-    least = least.reshape(-1, bins)
-    own = least.copy()
+    points ^= points >> np.uint64(32)
+    points *= _PRIME
+    points ^= points >> np.uint64(29)
+    points *= _PRIME
+    return points, sizes
+
+
+def _signatures(forms: list[bytes]) -> np.ndarray:
+    bins = BANDS * ROWS
+    # A line shorter than a shingle is filled up and so becomes one window.
+    lines = [f if len(f) >= 4 * SHINGLE else f + b"\0" * (SHINGLE - len(f.decode())) for f in forms]
+    hashes, sizes = _window_hashes(lines)
+    place = np.repeat(np.arange(len(lines)) * bins, sizes)[: len(hashes)]
+    place += ((hashes >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
+    crossing = np.cumsum(sizes)[:-1, None] - np.arange(1, SHINGLE)  # windows over two lines
+    hashes[crossing.ravel()] = _NONE
+    own = np.full(len(lines) * bins, _NONE, dtype=np.uint64)
+    np.minimum.at(own, place, hashes)
+    own = own.reshape(-1, bins)
+    least = own.copy()
+    rows, empty = np.nonzero(own == _NONE)
     for probe in [*_PROBES, *((np.arange(bins) + k) % bins for k in range(1, bins))]:
-        rows, empty = np.nonzero(least == _NONE)
         if not len(rows):
             break
-        least[rows, empty] = own[rows, probe[empty]]
+        found = own[rows, probe[empty]]
+        least[rows, empty] = found
+        still = found == _NONE
+        rows, empty = rows[still], empty[still]
     return least
 
 
+def signatures(forms: list[bytes]) -> np.ndarray:
+    """MinHash by one permutation: least hash of a line's shingles in each of
+    ``BANDS * ROWS`` bins; an empty bin takes the value of the first filled bin it asks."""
+    found, low = [np.zeros((0, BANDS * ROWS), dtype=np.uint64)], 0
+    while low < len(forms):
+        high, size = low, 0
+        while high < len(forms) and size < CHARS:
+            size += len(forms[high])
+            high += 1
+        found.append(_signatures(forms[low:high]))
+        low = high
+    return np.concatenate(found)
+
+
 def bands(forms: list[bytes]) -> np.ndarray:
     """For each line one number per band of its signature, the band's place mixed in."""
     parts = signatures(forms).reshape(-1, BANDS, ROWS)
@@ -113,12 +148,36 @@ def long_enough(form: bytes) -> bool:
     return len(form) >= LEAST_CHARS and (form.isascii() or len(form.decode()) >= LEAST_CHARS)
 
 
-def jaccard(a: frozenset, b: frozenset) -> float:
-    common = len(a & b)
+def shingle_numbers(form: bytes) -> np.ndarray:
+    """:func:`shingles` of a line in Latin-1, ascending: eight bytes are one number, so
+    different shingles are different numbers. A shorter line is filled with zero bytes."""
+    form = form.ljust(SHINGLE, b"\0")
+    found = np.sort(np.ndarray(len(form) - SHINGLE + 1, dtype="<u8", buffer=form, strides=(1,)))
+    fresh = np.ones(len(found), dtype=bool)
+    np.not_equal(found[1:], found[:-1], out=fresh[1:])
+    return found[fresh]
+
+
+def shingle_sets(forms: list[str]) -> list[np.ndarray] | list[frozenset]:
+    """Shingles of lines that are to be compared, as numbers where all lines allow it."""
+    try:
+        return [shingle_numbers(form.encode("latin-1")) for form in forms]
+    except UnicodeEncodeError:
+        return [shingles(form) for form in forms]
+
+
+def jaccard(a: frozenset | np.ndarray, b: frozenset | np.ndarray) -> float:
+    if isinstance(a, frozenset):
+        common = len(a & b)
+    else:
+        both = np.sort(np.concatenate([a, b]))
+        common = int(np.count_nonzero(both[1:] == both[:-1]))
     return common / (len(a) + len(b) - common)
 
 
-def similar_forest(sets: list[frozenset], first: int, threshold: float) -> list[tuple[int, int]]:
+def similar_forest(
+    sets: list[frozenset] | list[np.ndarray], first: int, threshold: float
+) -> list[tuple[int, int]]:
     """Links (index, index) that connect all sets whose similarity reaches the threshold.
 
     Compares every set from ``first`` on with the ones before it, except where both are
@@ -145,8 +204,11 @@ def similar_forest(sets: list[frozenset], first: int, threshold: float) -> list[
 
 def _lines(text: bytes) -> Iterator[tuple[int, bytes]]:
     """Number and normal form of the lines that take part."""
+    text = text.translate(_FOLD_LINES)
+    while b"  " in text:
+        text = text.replace(b"  ", b" ")
     for number, line in enumerate(text.split(b"\n")):
-        form = normal_form(line)
+        form = line.strip(b" ")
         if long_enough(form):
             yield number, form
 
@@ -181,16 +243,10 @@ def banded(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             forms = list({form for text in texts_of(batch) for _, form in _lines(text)})
-            low = 0
-            while low < len(forms):
-                high, size = low, 0
-                while high < len(forms) and size < SLICE * 8 and high - low < SLICE // BANDS:
-                    size += len(forms[high])
-                    high += 1
-                part = forms[low:high]
+            for low in range(0, len(forms), SLICE // BANDS):
+                part = forms[low : low + SLICE // BANDS]
                 nodes = np.array([node_of(x) for x in part], dtype=np.int64)
                 yield {"band": bands(part).ravel(), "node": np.repeat(nodes, BANDS)}
-                low = high
 
     return map_arrow(docs.select("text"), "band long, node long", run)
 
@@ -304,7 +360,7 @@ def _links(key: tuple | None, rows: list[tuple[int, int, str]], threshold: float
     """Links between nodes of one cell, given as (side, node, form) by side."""
     if len(rows) < 2:
         return []
-    sets = [shingles(form) for _, _, form in rows]
+    sets = shingle_sets([form for _, _, form in rows])
     # Pairs inside one block are compared where the block meets itself.
     first = 1 if key[1] == key[2] else sum(side == 0 for side, _, _ in rows)
     return [(rows[i][1], rows[j][1]) for i, j in similar_forest(sets, first, threshold)]
