@@ -7,11 +7,21 @@ from collections.abc import Callable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from basketry.functions.columns import SEGMENTS
 from basketry.functions.storage import Scratch
 from basketry.operators import insights, rfm, segments
 from basketry.operators.scoring import SCORES, score_customers
-from basketry.plans import fixtures
-from basketry.sources.readers import read_thresholds, read_tickets
+from basketry.operators.dataset import RetailTables
+from basketry.plans import fixtures, jobs
+from basketry.sources.readers import (
+    read_classification,
+    read_customers,
+    read_predictions,
+    read_products,
+    read_stores,
+    read_thresholds,
+    read_tickets,
+)
 from basketry.sources.writers import write_thresholds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,6 +138,82 @@ def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_customers(table, read_thresholds(spark, path))
 
 
+def _trained(spark: SparkSession, sf_dir: str, **layout: bool) -> str:
+    """Folder with ticket files and all that the training job made of them."""
+    folder = Scratch(spark).folder
+    fixtures.tickets(spark, sf_dir).write.json(f"{folder}/tickets")
+    jobs.train(
+        spark,
+        input=f"{folder}/tickets",
+        model_output=f"{folder}/model",
+        quartile_output=f"{folder}/quartiles",
+        prediction_output=f"{folder}/trained",
+        **PERCENTILES,
+        **layout,
+    )
+    return folder
+
+
+def _batch_labelled(spark: SparkSession, sf_dir: str, **layout: bool) -> DataFrame:
+    """Labels of the batch job with the saved thresholds and model of the training job."""
+    folder = _trained(spark, sf_dir, **layout)
+    jobs.run(
+        spark,
+        input=f"{folder}/tickets",
+        model_input=f"{folder}/model",
+        quartile_input=f"{folder}/quartiles",
+        prediction_output=f"{folder}/batch",
+        **layout,
+    )
+    return _labels(read_predictions(spark, f"{folder}/batch/all"))
+
+
+def train_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the training job wrote for all customers, from ticket files on."""
+    return read_predictions(spark, f"{_trained(spark, sf_dir)}/trained/all").drop("features", "scaled_features")
+
+
+def train_segments_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training job's split by segment; names and rows as the folders have them."""
+    path = f"{_trained(spark, sf_dir)}/trained/segments"
+    return _labels(read_predictions(spark, path))
+
+
+def train_plain_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same split as one plain folder per segment, read with one glob."""
+    folder = _trained(spark, sf_dir, plain_folders=True)
+    names = ",".join(SEGMENTS)
+    return _labels(read_predictions(spark, f"{folder}/trained/{{{names}}}"))
+
+
+def run_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _batch_labelled(spark, sf_dir)
+
+
+def run_threshold_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with thresholds that went through CSV folders."""
+    return _batch_labelled(spark, sf_dir, quartile_folders=True)
+
+
+def reports_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Health shares from tables that all went through files of their own formats."""
+    folder = Scratch(spark).folder
+    given = fixtures.retail_tables(spark, sf_dir)
+    for name in ("predictions", "tickets", "customers", "stores", "products"):
+        getattr(given, name).write.json(f"{folder}/{name}")
+    given.classification.write.option("header", True).csv(f"{folder}/classification")
+    return insights.health_share(
+        RetailTables(
+            predictions=read_predictions(spark, f"{folder}/predictions"),
+            tickets=read_tickets(spark, f"{folder}/tickets"),
+            customers=read_customers(spark, f"{folder}/customers"),
+            stores=read_stores(spark, f"{folder}/stores"),
+            products=read_products(spark, f"{folder}/products"),
+            classification=read_classification(spark, f"{folder}/classification"),
+        )
+    )
+
+
 def analysis_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     dataset = fixtures.retail_tables(spark, sf_dir).dataset()
     amounts = ("extendedamount", "originalamount", "totaldiscount")
@@ -184,6 +270,12 @@ def queries() -> dict[str, Query]:
         "seed_assignment": seed_assignment,
         "segments_kmeans": segments_kmeans,
         "score_batch": score_batch,
+        "train_predictions": train_predictions,
+        "train_segments_folder": train_segments_folder,
+        "train_plain_folders": train_plain_folders,
+        "run_predictions": run_predictions,
+        "run_threshold_folders": run_threshold_folders,
+        "reports_from_files": reports_from_files,
         "analysis_dataset": analysis_dataset,
         "spend_share": spend_share,
         "customer_share": customer_share,

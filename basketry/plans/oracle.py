@@ -350,5 +350,14 @@ _BODIES = {
 }
 
 
+# The jobs and files must give what the operators give without them.
+for _name in ("train_segments_folder", "train_plain_folders", "run_predictions", "run_threshold_folders"):
+    _BODIES[_name] = _BODIES["segments_kmeans"]
+_BODIES["train_predictions"] = f"""
+    SELECT s.*, l.prediction, l.segmento, l.prediction_label
+    FROM scored s JOIN ({_BODIES["segments_kmeans"]}) l ON s.customerid = l.customerid"""
+_BODIES["reports_from_files"] = _BODIES["health_share"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _query(body) for name, body in _BODIES.items()}
