@@ -254,7 +254,8 @@ def banded(docs: DataFrame) -> DataFrame:
 def candidate_sets(found: DataFrame) -> DataFrame:
     """``cell``, ``node``: nodes that share a band, once for each set of nodes.
 
-    Rows come sorted by band. A run that a batch ends in is held for the next batch, up to
+    Rows come sorted by band alone, a single number, which Spark sorts by radix; the nodes
+    of a run are put in order here. A run that a batch ends in is held for the next batch, up to
     ``SLICE`` nodes; a longer one is passed on as it comes, numbered by its band.
     """
 
@@ -278,7 +279,7 @@ def candidate_sets(found: DataFrame) -> DataFrame:
                 keys, nodes = keys[:0], nodes[:0]
         yield _sets(keys, nodes, passing)
 
-    dealt = found.repartition("band").sortWithinPartitions("band", "node")
+    dealt = found.repartition("band").sortWithinPartitions("band")
     return dealt.mapInPandas(run, "cell long, node long").distinct()
 
 
@@ -286,6 +287,8 @@ def _sets(keys: np.ndarray, nodes: np.ndarray, passing: int | None) -> pd.DataFr
     """Rows of the runs with two nodes or more; the number of a run is that of its set.
 
     The run of band ``passing`` comes in pieces and is numbered by the band."""
+    order = np.lexsort((nodes, keys))
+    keys, nodes = keys[order], nodes[order]
     fresh = np.ones(len(keys), dtype=bool)
     fresh[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
     keys, nodes = keys[fresh], nodes[fresh]
