@@ -459,3 +459,23 @@ def test_pipeline(spark, docs, tmp_path):
     assert sum(r.text == "" for r in seen[2].collect()) == 1 and seen[2].count() == 42
     assert not any(passage in r.text for r in seen[3].collect()) and seen[3].count() == seen[2].count()
     assert seen[4].count() > 0
+
+
+def test_lines_shingle_numbers_and_signatures_equal_their_definitions():
+    chance = random.Random(5)
+
+    def some(letters: str, most: int) -> str:
+        return "".join(chance.choice(letters) for _ in range(chance.randrange(most)))
+
+    for _ in range(2000):
+        text = some("abc  ,.\t\rAé日x\n\n0", 60).encode()
+        forms = enumerate(map(linededup.normal_form, text.split(b"\n")))
+        assert list(linededup._lines(text)) == [(n, f) for n, f in forms if linededup.long_enough(f)]
+    lines = [some("abcé ", 90) + "x" for _ in range(300)] + ["a", "ab日", "日本語" * 9]
+    encoded = [line.encode() for line in lines]
+    alone = [linededup.signatures([line])[0].tolist() for line in encoded]
+    assert linededup.signatures(encoded).tolist() == alone
+    for a, b in zip(lines, lines[1:] + lines[:1]):
+        for other in (b, a[:40] + "é" + a[41:], a):
+            expected = linededup.jaccard(linededup.shingles(a), linededup.shingles(other))
+            assert linededup.jaccard(*linededup.shingle_sets([a, other])) == expected
