@@ -74,6 +74,8 @@ def ancestors(messages: DataFrame, scratch: Scratch) -> tuple[DataFrame, list[Da
 
     ``messages``: ``tree_id``, ``message_id``, ``parent_id`` (null at a root), ``score``.
     A parent that is missing makes a root. Keys are single messages, so no join key is hot.
+    A message that has reached its root is done and only looked up from then on, so a round
+    handles just the messages deeper than the rounds so far reach.
     """
     ids = messages.select(F.col("tree_id").alias("k_tree"), F.col("message_id").alias("k_id"))
     known = messages.join(
@@ -81,7 +83,7 @@ def ancestors(messages: DataFrame, scratch: Scratch) -> tuple[DataFrame, list[Da
         F.col("tree_id").eqNullSafe(F.col("k_tree")) & (F.col("parent_id") == F.col("k_id")),
         "left",
     )
-    state = scratch.table(
+    latest = scratch.table(
         known.select(
             "tree_id",
             "message_id",
@@ -91,15 +93,15 @@ def ancestors(messages: DataFrame, scratch: Scratch) -> tuple[DataFrame, list[Da
         ),
         "ancestors-0",
     )
-    levels = []
+    done, levels = latest.where("up IS NULL"), []
     while True:
-        open_ = state.where("up IS NOT NULL")
+        open_ = latest.where("up IS NOT NULL")
         if open_.isEmpty():
-            return state, levels
+            return done, levels
         levels.append(open_.select("tree_id", "message_id", "up"))
         if len(levels) > 62:
             raise ValueError("messages answer each other in a circle")
-        above = state.select(
+        above = done.unionByName(open_).select(
             F.col("tree_id").alias("a_tree"),
             F.col("message_id").alias("a_id"),
             F.col("up").alias("a_up"),
@@ -107,20 +109,21 @@ def ancestors(messages: DataFrame, scratch: Scratch) -> tuple[DataFrame, list[Da
             F.col("total").alias("a_total"),
         )
         # ``depth`` and ``total`` cover the path from the message up to, without, ``up``.
-        state = scratch.table(
-            state.join(
+        # Every ``up`` is a message, so the inner join keeps all rows.
+        latest = scratch.table(
+            open_.join(
                 above,
                 F.col("tree_id").eqNullSafe(F.col("a_tree")) & (F.col("up") == F.col("a_id")),
-                "left",
             ).select(
                 "tree_id",
                 "message_id",
                 F.col("a_up").alias("up"),
-                (F.col("depth") + F.coalesce("a_depth", F.lit(0))).alias("depth"),
-                (F.col("total") + F.coalesce("a_total", F.lit(0.0))).alias("total"),
+                (F.col("depth") + F.col("a_depth")).alias("depth"),
+                (F.col("total") + F.col("a_total")).alias("total"),
             ),
             f"ancestors-{len(levels)}",
         )
+        done = done.unionByName(latest.where("up IS NULL"))
 
 
 def chosen_paths(messages: DataFrame, scratch: Scratch, best: int = 1) -> DataFrame:
