@@ -27,7 +27,7 @@ from basketry.functions.storage import Scratch
 from basketry.llm.components import connected_components
 from basketry.llm.tasks import map_arrow, table, texts_of, with_length
 
-SHINGLE = 8
+SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 14
 ROWS = 4
@@ -87,9 +87,10 @@ def _window_hashes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         points = np.frombuffer(whole.decode().encode("utf-32-le"), "<u4").astype(np.uint64)
         sizes = np.fromiter((len(line.decode()) for line in lines), np.int64, len(lines))
     width = 1
-    while width < SHINGLE:  # windows of 1, 2, 4, 8 characters from two halves
-        points = points[:-width] * _FACTORS[width] + points[width:]
-        width *= 2
+    while width < SHINGLE:  # windows of 1, 2, 4, 5 characters from two that touch or overlap
+        step = min(width, SHINGLE - width)
+        points = points[:-step] * _FACTORS[width] + points[step:]
+        width += step
     points ^= points >> np.uint64(32)
     points *= _PRIME
     points ^= points >> np.uint64(29)
@@ -149,10 +150,11 @@ def long_enough(form: bytes) -> bool:
 
 
 def shingle_numbers(form: bytes) -> np.ndarray:
-    """:func:`shingles` of a line in Latin-1, ascending: eight bytes are one number, so
+    """:func:`shingles` of a line in Latin-1, ascending: five bytes are one number, so
     different shingles are different numbers. A shorter line is filled with zero bytes."""
     form = form.ljust(SHINGLE, b"\0")
-    found = np.sort(np.ndarray(len(form) - SHINGLE + 1, dtype="<u8", buffer=form, strides=(1,)))
+    eights = np.ndarray(len(form) - SHINGLE + 1, "<u8", form + b"\0" * (8 - SHINGLE), strides=(1,))
+    found = np.sort(eights & np.uint64((1 << 8 * SHINGLE) - 1))
     fresh = np.ones(len(found), dtype=bool)
     np.not_equal(found[1:], found[:-1], out=fresh[1:])
     return found[fresh]
@@ -175,20 +177,34 @@ def jaccard(a: frozenset | np.ndarray, b: frozenset | np.ndarray) -> float:
     return common / (len(a) + len(b) - common)
 
 
+def _masks(sets: list[np.ndarray]) -> np.ndarray:
+    """512 bits of each set of numbers: those that the hashes of its members name."""
+    bits = np.zeros((len(sets), 512), dtype=bool)
+    for row, numbers in zip(bits, sets):
+        row[(numbers * _PRIME) >> np.uint64(55)] = True
+    return np.packbits(bits, axis=1).view(np.uint64)
+
+
 def similar_forest(
     sets: list[frozenset] | list[np.ndarray], first: int, threshold: float
 ) -> list[tuple[int, int]]:
     """Links (index, index) that connect all sets whose similarity reaches the threshold.
 
     Compares every set from ``first`` on with the ones before it, except where both are
-    connected already or their sizes rule the threshold out.
+    connected already or their sizes rule the threshold out. In larger groups so does a bound:
+    every bit of one set's mask that another's lacks is a member that the other lacks.
     """
     label = np.arange(len(sets))
     sizes = np.array([len(s) for s in sets])
+    masks = _masks(sets) if len(sets) > 8 and isinstance(sets[0], np.ndarray) else None
     links = []
     for i in range(max(first, 1), len(sets)):
         fit = np.minimum(sizes[:i], sizes[i]) >= threshold * np.maximum(sizes[:i], sizes[i])
         open_ = np.flatnonzero(fit)
+        if masks is not None:
+            lacking = np.bitwise_count(masks[i] & ~masks[open_]).sum(axis=1, dtype=np.int64)
+            common = np.minimum(sizes[i] - lacking, sizes[open_])
+            open_ = open_[common >= threshold * (sizes[i] + sizes[open_] - common) - 1e-6]
         while len(open_):
             linked = next((k for k, j in enumerate(open_) if jaccard(sets[i], sets[j]) >= threshold), None)
             if linked is None:

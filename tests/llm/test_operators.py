@@ -479,3 +479,35 @@ def test_lines_shingle_numbers_and_signatures_equal_their_definitions():
         for other in (b, a[:40] + "é" + a[41:], a):
             expected = linededup.jaccard(linededup.shingles(a), linededup.shingles(other))
             assert linededup.jaccard(*linededup.shingle_sets([a, other])) == expected
+
+
+def test_line_dedup_finds_one_edit_in_short_lines(spark):
+    """Lines of 49 to 80 characters with one other character, or one other word from 85."""
+    chance = random.Random(12)
+    wanted, pairs = 0, []
+    for size in (49, 50, 55, 60, 70, 78, 80):
+        for _ in range(8):
+            line = "".join(chance.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(size))
+            at = chance.randrange(5, size - 5)
+            pairs.append((line, line[:at] + "7" + line[at + 1 :]))
+    for _ in range(8):
+        line = "".join(chance.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(95))
+        pairs.append((line, line[:40] + "12345" + line[45:]))
+    made = [(2 * i + k, line) for i, pair in enumerate(pairs) for k, line in enumerate(pair)]
+    frame = spark.createDataFrame(made, "doc_id long, text string")
+    gone = {r.doc_id for r in linededup.dedup_lines(frame).collect() if r.n_removed}
+    assert gone == set(range(1, len(made), 2))
+
+
+def test_masks_rule_out_no_similar_lines():
+    chance = random.Random(13)
+    lines = []
+    for _ in range(12):
+        line = prose(chance, 14)
+        lines += [line, line[:30] + "7" + line[31:], line[:50], line + " x"]
+    sets = linededup.shingle_sets(lines)
+    links = linededup.similar_forest(sets, 1, linededup.THRESHOLD)
+    plain = [linededup.shingles(x) for x in lines]
+    alike = lambda i, j: linededup.jaccard(plain[i], plain[j]) >= linededup.THRESHOLD
+    joined = _components(len(lines), lambda i, j: (i, j) in set(links))
+    assert joined == _components(len(lines), alike)
