@@ -10,6 +10,7 @@ from basketry.llm import (
     chat,
     classifier,
     decontaminate,
+    filteraudit,
     licences,
     linededup,
     mixing,
@@ -34,8 +35,13 @@ def queries() -> dict[str, Query]:
         "op8_source_mixing": mixing.op8_source_mixing,
         "op9_simhash_bktree": simhash.op9_simhash_bktree,
         "op10_license_scan": licences.op10_license_scan,
+        "op11_filter_audit": filteraudit.op11_filter_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": chat.OP3_SQL, "op8_source_mixing": mixing.OP8_SQL}
+    return {
+        "op3_chat_format": chat.OP3_SQL,
+        "op8_source_mixing": mixing.OP8_SQL,
+        "op11_filter_audit": filteraudit.OP11_SQL,
+    }
