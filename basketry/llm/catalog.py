@@ -14,6 +14,7 @@ from basketry.llm import (
     licences,
     linededup,
     mixing,
+    pieces,
     quality,
     secrets,
     simhash,
@@ -36,6 +37,7 @@ def queries() -> dict[str, Query]:
         "op9_simhash_bktree": simhash.op9_simhash_bktree,
         "op10_license_scan": licences.op10_license_scan,
         "op11_filter_audit": filteraudit.op11_filter_audit,
+        "op13_sentencepiece": pieces.op13_sentencepiece,
     }
 
 
