@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.llm import (
+    alignment,
     chat,
     classifier,
     decontaminate,
@@ -37,6 +38,7 @@ def queries() -> dict[str, Query]:
         "op9_simhash_bktree": simhash.op9_simhash_bktree,
         "op10_license_scan": licences.op10_license_scan,
         "op11_filter_audit": filteraudit.op11_filter_audit,
+        "op12_token_alignment": alignment.op12_token_alignment,
         "op13_sentencepiece": pieces.op13_sentencepiece,
     }
 
