@@ -1,134 +1,152 @@
-"""Exact quantiles of several columns in two passes.
+"""Exact quantiles of several columns by counting ranges of values.
 
 ``approxQuantile`` with error 0 keeps every value in its summary and merges the
-summaries on the driver. Here a bounded sketch only brackets each quantile; one
-grouped count then settles the exact rank inside the bracket.
+summaries on the driver. Here each round counts the rows of a fixed number of value
+ranges, keeps the range that holds the wanted rank and cuts it anew. Counts are grouped
+aggregates: every range has a task of its own to meet in, and what reaches the driver is
+one row per range, however many rows or partitions there are. Once few rows compete, their
+values are counted one by one.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
-# A sketch of this accuracy is off by at most n / ACCURACY ranks. The bracket is
-# twice as wide on both sides, thus some 4 * n / ACCURACY values compete for a rank:
-# 200,000 for a thousand million rows.
-ACCURACY = 20_000
-MARGIN = 2 / ACCURACY
-WIDENING = 16
+RANGES = 1024  # ranges that a round cuts the candidates of one rank into
+OCTAVE = 4  # ranges of the first round for each power of two
+FEW = 65_536  # candidates of all ranks together whose values are counted one by one
+_ZERO = 5_000  # more than the OCTAVE-fold exponent of any double
+_INFINITE = 2 * _ZERO
+
+
+@dataclass
+class _Target:
+    """A rank that is sought among the ``rows`` values from ``low`` to ``high``, counted
+    from the first of them."""
+
+    column: str
+    rank: int
+    rows: int
+    low: float
+    high: float
+
+    def narrow(self, ranges: list[Row]) -> None:
+        """To the range that holds the rank; ``ranges`` in ascending order."""
+        for found in ranges:
+            if self.rank <= found["rows"]:
+                self.rows, self.low, self.high = found["rows"], found["low"], found["high"]
+                return
+            self.rank -= found["rows"]
+        raise ArithmeticError("the table changed while its quantiles were sought")
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    margin: float = MARGIN,
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float]]:
     """The value at rank ``ceil(p * n)`` (at least 1) for each column and probability.
 
     Same element as ``df.approxQuantile(columns, probabilities, 0.0)``: nulls and NaN
-    are skipped, and a column without values gives an empty list. ``df`` is read
-    twice, so it should be a written table.
+    are skipped, and a column without values gives an empty list. ``df`` is read in
+    every round, two for some ten thousand rows and three or four for any number, so it
+    should be a written table.
     """
-    return exact_quantiles_of(df, {c: list(probabilities) for c in columns}, margin)
+    return exact_quantiles_of(df, {c: list(probabilities) for c in columns})
 
 
-def exact_quantiles_of(
-    df: DataFrame, wanted: dict[str, list[float]], margin: float = MARGIN
-) -> dict[str, list[float]]:
+def exact_quantiles_of(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str, list[float]]:
     """:func:`exact_quantiles` with probabilities of its own for each column."""
+    if not any(wanted.values()):
+        return {c: [] for c in wanted}
     numbers = df.select(*[_number(df, c).alias(c) for c in wanted])
-    pending = [(c, p) for c, probabilities in wanted.items() for p in probabilities]
-    found: dict[tuple[str, float], float | None] = {}
-    while pending:
-        sketch = _sketch(numbers, pending, margin)
-        missed = []
-        targets = []
-        for c, p in pending:
-            n, at = sketch[c]
-            if n == 0:
-                found[c, p] = None
-                continue
-            low, high = _edges(p, margin)
-            targets.append(
-                (c, p, max(1, math.ceil(p * n)), at[low] if low > 0 else None, at[high] if high < 1 else None)
-            )
-        values = _values_at_rank(numbers, targets) if targets else {}
-        for t, (c, p, *_) in enumerate(targets):
-            if t in values:
-                found[c, p] = values[t]
-            else:
-                missed.append((c, p))
-        # A bracket that missed its rank is widened, in the end to the whole range.
-        pending, margin = missed, margin * WIDENING
-    return {
-        c: [found[c, p] for p in probabilities if found[c, p] is not None]
-        for c, probabilities in wanted.items()
-    }
+    first = _collected(magnitudes(numbers, list(wanted)), "column")
+    targets: dict[tuple[str, float], _Target] = {}
+    for c, probabilities in wanted.items():
+        ranges = first.get(c, [])
+        n = sum(r["rows"] for r in ranges)
+        for p in probabilities if n else ():
+            target = _Target(c, max(1, math.ceil(p * n)), n, -math.inf, math.inf)
+            target.narrow(ranges)
+            targets[c, p] = target
+    while True:
+        open_ = [t for t in targets.values() if t.low < t.high]
+        if not open_:
+            break
+        few = sum(t.rows for t in open_) <= FEW
+        counts = _collected((values if few else ranges_of)(numbers, open_), "target")
+        for i, target in enumerate(open_):
+            target.narrow(counts[i])
+    return {c: [targets[c, p].low for p in ps if (c, p) in targets] for c, ps in wanted.items()}
+
+
+def _collected(counts: DataFrame, key: str) -> dict[str | int, list[Row]]:
+    """Ranges with their rows, least and greatest value, ascending, by column or target."""
+    found: dict[str | int, list[Row]] = {}
+    for row in sorted(counts.collect(), key=lambda r: r["low"]):
+        found.setdefault(row[key], []).append(row)
+    return found
 
 
 def _number(df: DataFrame, name: str) -> Column:
-    value = F.col(name).cast("double")
+    value = F.col(f"`{name}`").cast("double")
     if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
         return F.nanvl(value, F.lit(None).cast("double"))
     return value
 
 
-def _edges(p: float, margin: float) -> tuple[float, float]:
-    return max(0.0, p - margin), min(1.0, p + margin)
+def _counted(values: DataFrame, *keys: str) -> DataFrame:
+    return values.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
 
 
-def _sketch(
-    numbers: DataFrame, targets: Iterable[tuple[str, float]], margin: float
-) -> dict[str, tuple[int, dict[float, float]]]:
-    """Non-null count and approximate bracket values of each column."""
-    edges: dict[str, set[float]] = {}
-    for c, p in targets:
-        edges.setdefault(c, set()).update(_edges(p, margin))
-    ordered = {c: sorted(points) for c, points in edges.items()}
-    row = numbers.agg(
-        *[
-            F.struct(
-                F.count(c).alias("n"), F.percentile_approx(c, points, ACCURACY).alias("at")
-            ).alias(c)
-            for c, points in ordered.items()
-        ]
-    ).first()
-    return {c: (row[c]["n"], dict(zip(points, row[c]["at"] or []))) for c, points in ordered.items()}
+def magnitudes(numbers: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column``, ``range``, ``rows``, ``low``, ``high``: values counted by sign and magnitude,
+    at most some 17,000 ranges a column, a few hundred for usual ones."""
+    each = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in columns])
+    )
+    size = F.abs(F.col("value"))
+    step = (
+        F.when(size == 0, 0)
+        .when(size == math.inf, _INFINITE)
+        .otherwise(F.floor(F.log2(F.when(size < math.inf, size)) * OCTAVE) + _ZERO)
+    )
+    rows = numbers.select(each.alias("of")).select("of.*").where("value is not null")
+    return _counted(rows.withColumn("range", F.signum("value").cast("int") * step), "column", "range")
 
 
-def _values_at_rank(
-    numbers: DataFrame, targets: Sequence[tuple[str, float, int, float | None, float | None]]
-) -> dict[int, float]:
-    """Exact value of each target whose rank lies in its bracket, by target position.
+def ranges_of(numbers: DataFrame, targets: Sequence[_Target]) -> DataFrame:
+    """``target``, ``range``, ``rows``, ``low``, ``high``: the candidates of each target in
+    ``RANGES`` equal parts. Its least and its greatest value lie in different parts."""
 
-    A row below the bracket counts under a null value, a row above it not at all.
-    """
-    marks = []
-    for t, (c, _, rank, low, high) in enumerate(targets):
-        value = F.col(c)
-        inside = value.isNotNull() if high is None else value <= high
-        kept = value if low is None else F.when(value >= low, value)
-        marks.append(
-            F.when(
-                inside,
-                F.struct(
-                    F.lit(t).alias("target"), F.lit(rank).cast("long").alias("rank"), kept.alias("value")
-                ),
-            )
-        )
-    counts = (
-        numbers.select(F.explode(F.array_compact(F.array(*marks))).alias("mark"))
-        .groupBy("mark.target", "mark.rank", "mark.value")
+    def part(t: _Target) -> Column:
+        place = (F.col(f"`{t.column}`") - t.low) / (t.high - t.low) * RANGES
+        return F.least(F.floor(place), F.lit(RANGES - 1))
+
+    return _counted(_candidates(numbers, targets, part), "target", "range")
+
+
+def values(numbers: DataFrame, targets: Sequence[_Target]) -> DataFrame:
+    """The same with every value in a range of its own, for few candidates."""
+    rows = _candidates(numbers, targets, lambda t: F.lit(0).cast("long"))
+    return (
+        rows.groupBy("target", "value")
         .agg(F.count(F.lit(1)).alias("rows"))
+        .select("target", "rows", F.col("value").alias("low"), F.col("value").alias("high"))
     )
-    upto = Window.partitionBy("target").orderBy(F.col("value").asc_nulls_first())
-    hits: list[Row] = (
-        counts.withColumn("running", F.sum("rows").over(upto))
-        .where("running >= rank and running - rows < rank and value is not null")
-        .select("target", "value")
-        .collect()
-    )
-    return {hit["target"]: hit["value"] for hit in hits}
+
+
+def _candidates(numbers: DataFrame, targets: Sequence[_Target], part) -> DataFrame:
+    """``target``, ``range``, ``value`` of each value between the ends of a target."""
+    marks = [
+        F.when(
+            F.col(f"`{t.column}`").between(t.low, t.high),
+            F.struct(F.lit(i).alias("target"), part(t).alias("range"), F.col(f"`{t.column}`").alias("value")),
+        )
+        for i, t in enumerate(targets)
+    ]
+    return numbers.select(F.explode(F.array_compact(F.array(*marks))).alias("of")).select("of.*")

@@ -1,7 +1,9 @@
+import math
 import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from basketry.functions import quantiles
 from basketry.functions.quantiles import exact_quantiles, exact_quantiles_of
@@ -30,14 +32,32 @@ def test_large_column_with_ties(spark):
     assert found == df.approxQuantile("x", PROBABILITIES, 0.0)
 
 
-def test_missed_bracket_is_widened(spark, monkeypatch):
+@pytest.mark.parametrize("few", [0, 40, 1 << 16])
+def test_ranges_are_cut_until_the_rank_is_found(spark, monkeypatch, few):
     draw = random.Random(4)
-    values = [draw.random() for _ in range(20_000)]
+    values = [draw.choice((draw.random(), draw.gauss(0, 1e-300), draw.gauss(0, 1e300), -0.0, 5.0)) for _ in range(20_000)]
+    values += [math.inf, -math.inf, 5e-324, -5e-324, 1.7e308, -1.7e308]
     df = _frame(spark, values).repartition(4).cache()
-    monkeypatch.setattr(quantiles, "ACCURACY", 20)
-    found = exact_quantiles(df, ["x"], [0.1, 0.5, 0.9], margin=1e-9)["x"]
-    ordered = sorted(values)
-    assert found == [ordered[1999], ordered[9999], ordered[17999]]
+    monkeypatch.setattr(quantiles, "FEW", few)
+    monkeypatch.setattr(quantiles, "RANGES", 16 if few < 100 else 1024)
+    ordered, wanted = sorted(values), [0.0, 0.001, 0.1, 0.4, 0.5, 0.7, 0.9, 0.999, 1.0]
+    found = exact_quantiles(df, ["x"], wanted)["x"]
+    assert found == [ordered[max(1, math.ceil(p * len(ordered))) - 1] for p in wanted]
+
+
+@pytest.mark.parametrize("kind", ["first", "later"])
+def test_counters_do_not_grow_with_partitions_or_rows(spark, kind):
+    """What the last task and the driver get is one row for each range."""
+    target = quantiles._Target("x", 1, 1, 0.0, 1.0)
+    sizes = set()
+    for rows, parts in ((40_000, 4), (40_000, 64), (400_000, 64)):
+        numbers = spark.range(0, rows, 1, parts).select(((F.col("id") * 7919 % 40_000) / 40_000).alias("x"))
+        counts = quantiles.magnitudes(numbers, ["x"]) if kind == "first" else quantiles.ranges_of(numbers, [target])
+        plan = counts._jdf.queryExecution().toString()
+        assert "SinglePartition" not in plan and "Window" not in plan
+        assert sum(r["rows"] for r in counts.collect()) == rows
+        sizes.add(counts.count())
+    assert len(sizes) == 1 and sizes.pop() <= quantiles.RANGES
 
 
 def test_several_columns_with_their_own_probabilities(spark):
