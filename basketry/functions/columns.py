@@ -81,21 +81,18 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double"))
 
 
-def nearest(point: Column, centroids: Sequence[Sequence[float]]) -> Column:
-    """Index of the centroid nearest to an array column; the lowest index wins a tie."""
-    distances = F.array(
-        *[
-            F.round(
-                sum(
-                    (
-                        (F.get(point, i) - F.lit(float(x))) * (F.get(point, i) - F.lit(float(x)))
-                        for i, x in enumerate(centroid)
-                    ),
-                    F.lit(0.0),
-                ),
-                TIE_DECIMALS,
-            )
-            for centroid in centroids
-        ]
-    )
+def nearest(
+    point: Column, centroids: Sequence[Sequence[float]], decimals: int | None = TIE_DECIMALS
+) -> Column:
+    """Index of the centroid nearest to an array column; the lowest index wins a tie.
+
+    Squared distances that agree to ``decimals`` tie; without, only equal ones do.
+    """
+
+    def distance(centroid: Sequence[float]) -> Column:
+        differences = (F.get(point, i) - F.lit(float(x)) for i, x in enumerate(centroid))
+        total = sum((d * d for d in differences), F.lit(0.0))
+        return total if decimals is None else F.round(total, decimals)
+
+    distances = F.array(*map(distance, centroids))
     return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")

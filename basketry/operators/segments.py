@@ -11,7 +11,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.mllib.clustering import KMeansModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from basketry.functions.columns import SEGMENTS, nearest, segment_label, segment_name
+from basketry.functions.columns import SEGMENTS, TIE_DECIMALS, nearest, segment_label, segment_name
+from basketry.functions.storage import Scratch
 from basketry.operators.scoring import SCORES
 from basketry.schemas import CENTROIDS
 
@@ -19,6 +20,7 @@ N_CLUSTERS = len(SEGMENTS)
 SCORE_LEVELS = 4
 ITERATIONS = 100
 EPSILON = 1e-4
+PARTS = 32  # groups in which the sums of one centre meet first
 
 Points = list[list[float]]
 
@@ -29,6 +31,15 @@ def assemble(scored: DataFrame) -> DataFrame:
     return assembler.transform(scored)
 
 
+METRIC_VECTOR = ("recency", "frequency", "monetary")
+
+
+def assemble_metrics(rfm_table: DataFrame) -> DataFrame:
+    """Adds the three unscored metrics as the vector ``features``; a row with a null one goes."""
+    assembler = VectorAssembler(inputCols=list(METRIC_VECTOR), outputCol="features", handleInvalid="skip")
+    return assembler.transform(rfm_table)
+
+
 def fit_scaler(assembled: DataFrame) -> StandardScalerModel:
     scaler = StandardScaler(
         inputCol="features", outputCol="scaled_features", withMean=True, withStd=True
@@ -115,7 +126,8 @@ def fit_segments(features: DataFrame, seeds: Points, clusters: int = N_CLUSTERS)
     """K-Means on ``scaled_features`` from the given seeds.
 
     Scores have few levels, so all customers lie on at most ``SCORE_LEVELS`` cubed points.
-    One aggregate weights these; the iterations run on them alone.
+    One aggregate weights these; the iterations run on them alone. Other vectors, of any
+    number and size, go through :func:`vector_kmeans`.
     """
     if len(seeds) != clusters:
         raise ValueError(
@@ -123,14 +135,60 @@ def fit_segments(features: DataFrame, seeds: Points, clusters: int = N_CLUSTERS)
         )
     most = SCORE_LEVELS ** len(SCORES)
     point = vector_to_array("scaled_features")
-    axes = [F.get(point, i).alias(s) for i, s in enumerate(SCORES)]
-    weighted = features.select(*axes).groupBy(*SCORES).count().limit(most + 1).collect()
-    if len(weighted) > most:
-        raise ValueError(f"more than {most} different points: these are no standardised scores")
-    weighted.sort()
-    points = np.array([row[:-1] for row in weighted], dtype=float).reshape(-1, len(SCORES))
-    weights = np.array([row[-1] for row in weighted], dtype=float)
-    return Fit(KMeansModel(weighted_kmeans(points, weights, seeds).tolist()), seeds)
+    if len(seeds[0]) == len(SCORES):
+        axes = [F.get(point, i).alias(s) for i, s in enumerate(SCORES)]
+        weighted = features.select(*axes).groupBy(*SCORES).count().limit(most + 1).collect()
+        if len(weighted) <= most:
+            weighted.sort()
+            points = np.array([row[:-1] for row in weighted], dtype=float).reshape(-1, len(SCORES))
+            weights = np.array([row[-1] for row in weighted], dtype=float)
+            return Fit(KMeansModel(weighted_kmeans(points, weights, seeds).tolist()), seeds)
+    with Scratch(features.sparkSession) as scratch:
+        points_table = scratch.table(features.select(point.alias("point")), "points")
+        return Fit(KMeansModel(vector_kmeans(points_table, seeds)), seeds)
+
+
+def vector_kmeans(
+    points: DataFrame,
+    seeds: Points,
+    iterations: int = ITERATIONS,
+    epsilon: float = EPSILON,
+    parts: int = PARTS,
+) -> Points:
+    """Centres of K-Means over the array column ``point``, by rounds on the whole table.
+
+    A round assigns every point to its nearest centre and adds up coordinates and numbers
+    of points by centre: partial sums leave a task as one row per centre, meet in ``parts``
+    groups of each centre, and one row per centre reaches the driver. ``points`` is read
+    once a round, so it should be a written table. Rounds end as those of
+    :func:`weighted_kmeans`. A point with a null or NaN coordinate, or of another size, takes no part.
+    """
+    size = len(seeds[0])
+    usable = (F.size("point") == size) & ~F.exists("point", lambda x: x.isNull() | F.isnan(x))
+    points = points.where(F.col("point").isNotNull() & usable)
+    centers = [[float(x) for x in seed] for seed in seeds]
+    for _ in range(iterations):
+        sums = _center_sums(points, centers, size, parts).collect()
+        moved = list(centers)
+        for row in sums:
+            moved[row["center"]] = [row[f"x{i}"] / row["n"] for i in range(size)]
+        shifts = [sum((a - b) ** 2 for a, b in zip(old, new)) for old, new in zip(centers, moved)]
+        centers = moved
+        if all(shift <= epsilon**2 for shift in shifts):
+            break
+    return centers
+
+
+def _center_sums(points: DataFrame, centers: Points, size: int, parts: int) -> DataFrame:
+    """``center``, ``n`` and the sum of each coordinate of the centre's points."""
+    names = [f"x{i}" for i in range(size)]
+    axes = [F.get("point", i).alias(name) for i, name in enumerate(names)]
+    # A centre with most of the points still meets in several tasks.
+    part = (F.spark_partition_id() % parts).alias("part")
+    placed = points.select(nearest(F.col("point"), centers, decimals=None).alias("center"), part, *axes)
+    sums = [F.sum(name).alias(name) for name in names]
+    partial = placed.groupBy("center", "part").agg(F.count(F.lit(1)).alias("n"), *sums)
+    return partial.groupBy("center").agg(F.sum("n").alias("n"), *sums)
 
 
 def weighted_kmeans(points: np.ndarray, weights: np.ndarray, seeds: Points) -> np.ndarray:
@@ -154,12 +212,15 @@ def weighted_kmeans(points: np.ndarray, weights: np.ndarray, seeds: Points) -> n
     return centers
 
 
-def assign(features: DataFrame, centroids: Sequence[Sequence[float]]) -> DataFrame:
+def assign(
+    features: DataFrame, centroids: Sequence[Sequence[float]], decimals: int | None = TIE_DECIMALS
+) -> DataFrame:
     """Adds ``prediction``, ``segmento`` and ``prediction_label``.
 
-    A row without a customer is not labelled and leaves the table.
+    A row without a customer is not labelled and leaves the table. Scores lie on a grid
+    where distances tie, so these are compared to ``decimals``; None compares them as they are.
     """
-    prediction = nearest(vector_to_array("scaled_features"), centroids)
+    prediction = nearest(vector_to_array("scaled_features"), centroids, decimals)
     return (
         features.where(F.col("customerid").isNotNull())
         .withColumn("prediction", prediction)

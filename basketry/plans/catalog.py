@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketry.functions.columns import SEGMENTS
+from basketry.functions.quantiles import exact_quantiles
 from basketry.functions.storage import Scratch
 from basketry.operators import insights, rfm, segments
 from basketry.operators.scoring import SCORES, score_customers
@@ -130,6 +131,37 @@ def segments_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _labels(segments.assign(features, fit.centroids))
 
 
+# Middles of six equal parts, to two digits.
+MIDDLES = (0.08, 0.25, 0.42, 0.58, 0.75, 0.92)
+
+
+def _metric_fit(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, segments.Fit]:
+    """K-Means of the standardised metrics themselves, from quantiles as seeds."""
+    table = _written_rfm(spark, sf_dir)
+    assembled = segments.assemble_metrics(table)
+    scaler = segments.fit_scaler(assembled)
+    features = scaler.transform(assembled)
+    at = exact_quantiles(table, rfm.METRICS, MIDDLES)
+    seeds = [
+        [(at[m][k] - mean) / std for m, mean, std in zip(rfm.METRICS, scaler.mean, scaler.std)]
+        for k in range(len(MIDDLES))
+    ]
+    return features, segments.fit_segments(features, seeds)
+
+
+def metrics_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all customers by unscored recency, frequency and amount."""
+    features, fit = _metric_fit(spark, sf_dir)
+    labelled = segments.assign(features, fit.centroids, decimals=None)
+    return labelled.select("customerid", "recency", "frequency", "monetary", "prediction", "segmento")
+
+
+def metrics_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centres of the same clusters on the standardised scale."""
+    centers = segments.centroid_frame(spark, _metric_fit(spark, sf_dir)[1].centroids)
+    return _rounded(centers, 6, *[c for c in centers.columns if dict(centers.dtypes)[c] == "double"])
+
+
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores with thresholds that went through a file, as a later batch would."""
     table, quartiles = _quartiles(spark, sf_dir)
@@ -269,6 +301,8 @@ def queries() -> dict[str, Query]:
         "seed_centroids": seed_centroids,
         "seed_assignment": seed_assignment,
         "segments_kmeans": segments_kmeans,
+        "metrics_kmeans": metrics_kmeans,
+        "metrics_centroids": metrics_centroids,
         "score_batch": score_batch,
         "train_predictions": train_predictions,
         "train_segments_folder": train_segments_folder,

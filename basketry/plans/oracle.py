@@ -127,6 +127,45 @@ _VIEWS = {
           (VALUES (1), (2), (3), (4), (5), (6)) AS clusters (k))
       GROUP BY step, centers, k)
     GROUP BY step""",
+    "measure": """
+    SELECT avg(recency) AS rm, stddev_samp(recency) AS rs, avg(frequency) AS fm,
+           stddev_samp(frequency) AS fs, avg(monetary) AS mm, stddev_samp(monetary) AS ms
+    FROM rfm WHERE recency IS NOT NULL AND frequency IS NOT NULL AND monetary IS NOT NULL""",
+    "vector": """
+    SELECT rfm.*, (recency - rm) / rs AS r, (frequency - fm) / fs AS f, (monetary - mm) / ms AS m
+    FROM rfm, measure
+    WHERE recency IS NOT NULL AND frequency IS NOT NULL AND monetary IS NOT NULL""",
+    # The same iterations over all customers, each of weight 1, from quantiles as seeds.
+    "drift": """
+    SELECT 0 AS step, TRUE AS moving,
+           list([(r - rm) / rs, (f - fm) / fs, (m - mm) / ms] ORDER BY p) AS centers
+    FROM (SELECT unnest([0.08, 0.25, 0.42, 0.58, 0.75, 0.92]) AS p,
+                 unnest(quantile_disc(recency, [0.08, 0.25, 0.42, 0.58, 0.75, 0.92])) AS r,
+                 unnest(quantile_disc(frequency, [0.08, 0.25, 0.42, 0.58, 0.75, 0.92])) AS f,
+                 unnest(quantile_disc(monetary, [0.08, 0.25, 0.42, 0.58, 0.75, 0.92])) AS m
+          FROM rfm), measure
+    UNION ALL
+    SELECT step + 1,
+           max(pow(center[1] - centers[k][1], 2) + pow(center[2] - centers[k][2], 2)
+               + pow(center[3] - centers[k][3], 2)) > 1e-8,
+           list(center ORDER BY k)
+    FROM (
+      SELECT step, centers, k,
+             CASE WHEN sum(mine) = 0 THEN centers[k]
+                  ELSE [sum(mine * r) / sum(mine), sum(mine * f) / sum(mine),
+                        sum(mine * m) / sum(mine)] END AS center
+      FROM (
+        SELECT step, centers, k, r, f, m,
+               CASE WHEN list_position(distances, list_min(distances)) = k THEN 1 ELSE 0 END AS mine
+        FROM (
+          SELECT step, centers, r, f, m,
+                 list_transform(centers, lambda c:
+                   pow(r - c[1], 2) + pow(f - c[2], 2) + pow(m - c[3], 2)) AS distances
+          FROM drift, vector
+          WHERE moving AND step < 100),
+          (VALUES (1), (2), (3), (4), (5), (6)) AS clusters (k))
+      GROUP BY step, centers, k)
+    GROUP BY step""",
     "named": """
     SELECT * FROM (VALUES (0, 'best'), (1, 'ocassional'), (2, 'loyal'), (3, 'promising'),
                           (4, 'risk'), (5, 'lost')) AS names (prediction, segmento)""",
@@ -262,6 +301,20 @@ _BODIES = {
                pow(r - c[1], 2) + pow(f - c[2], 2) + pow(m - c[3], 2), 9)) AS distances
       FROM scaled, (SELECT centers FROM fit ORDER BY step DESC LIMIT 1))
     JOIN named ON prediction = list_position(distances, list_min(distances)) - 1""",
+    "metrics_kmeans": """
+    SELECT customerid, recency, frequency, monetary, prediction, segmento
+    FROM (
+      SELECT vector.*,
+             list_transform(centers, lambda c:
+               pow(r - c[1], 2) + pow(f - c[2], 2) + pow(m - c[3], 2)) AS distances
+      FROM vector, (SELECT centers FROM drift ORDER BY step DESC LIMIT 1))
+    JOIN named ON prediction = list_position(distances, list_min(distances)) - 1
+    WHERE customerid IS NOT NULL""",
+    "metrics_centroids": """
+    SELECT CAST(k - 1 AS INTEGER) AS prediction, round(centers[k][1], 6) AS r,
+           round(centers[k][2], 6) AS f, round(centers[k][3], 6) AS m
+    FROM (SELECT centers FROM drift ORDER BY step DESC LIMIT 1),
+         (SELECT unnest([1, 2, 3, 4, 5, 6]) AS k)""",
     "analysis_dataset": """
     SELECT * REPLACE (CAST(originalamount AS DOUBLE) AS originalamount,
                       CAST(extendedamount AS DOUBLE) AS extendedamount,

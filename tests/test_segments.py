@@ -178,8 +178,38 @@ def test_weighted_kmeans_equals_the_trainer_of_spark(spark, seed):
     assert np.allclose(ours, np.array(theirs), atol=1e-9)
 
 
-def test_fit_refuses_more_points_than_scores_allow(spark):
-    features = spark.range(100).selectExpr("array(double(id), 0D, 0D) AS p")
+@pytest.mark.parametrize(("seed", "size", "parts"), [(0, 3, 1), (1, 2, 4), (2, 7, 32)])
+def test_vector_kmeans_equals_the_trainer_of_spark(spark, seed, size, parts):
+    rng = np.random.default_rng(seed)
+    points = rng.normal(size=(3_000, size)) + rng.integers(0, 4, (3_000, 1))
+    seeds = points[:5].tolist()
+    rows = [p.tolist() for p in points]
+    theirs = KMeans.train(spark.sparkContext.parallelize(rows, 3), 5, initialModel=KMeansModel(seeds)).clusterCenters
+    odd = [None, [], [1.0] * (size + 1), [None] * size, [float("nan")] * size]
+    frame = spark.createDataFrame([(p,) for p in rows + odd], "point array<double>").repartition(6).cache()
+    assert np.allclose(segments.vector_kmeans(frame, seeds, parts=parts), np.array(theirs), atol=1e-9)
+
+
+def test_fit_takes_vectors_of_any_number(spark):
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(2_000, 3))
+    points[:1_200] = points[0]  # one place holds most of the rows
+    features = spark.createDataFrame([(p.tolist(),) for p in points], "p array<double>").repartition(5)
     features = features.select(array_to_vector("p").alias("scaled_features"))
-    with pytest.raises(ValueError, match="64"):
-        segments.fit_segments(features, [[float(i), 0.0, 0.0] for i in range(6)])
+    seeds = points[[0, 1300, 1400, 1500, 1600, 1700]].tolist()
+    wanted = _lloyd(points, np.ones(len(points)), np.array(seeds))
+    assert np.allclose(segments.fit_segments(features, seeds).centroids, wanted, atol=1e-9)
+
+
+def test_centres_without_points_and_empty_tables_stay(spark):
+    one = spark.createDataFrame([([1.0, 1.0],), ([3.0, 3.0],)], "point array<double>")
+    assert segments.vector_kmeans(one, [[2.0, 2.0], [90.0, 90.0]]) == [[2.0, 2.0], [90.0, 90.0]]
+    assert segments.vector_kmeans(one.where("false"), [[2.0], [5.0]]) == [[2.0], [5.0]]
+
+
+def test_sums_of_a_centre_leave_a_task_as_one_row(spark):
+    points = spark.range(0, 200_000, 1, 16).selectExpr("array(double(id % 7), 0.5D) AS point")
+    sums = segments._center_sums(points, [[0.0, 0.0], [100.0, 0.0]], 2, 4)
+    assert [(r["center"], r["n"], r["x1"]) for r in sums.collect()] == [(0, 200_000, 100_000.0)]
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "ArrowEval" not in plan
