@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from basketry.functions.columns import purchase_date
 from basketry.functions.quantiles import exact_quantiles, exact_quantiles_of
+from basketry.functions.storage import Scratch
 from basketry.schemas import BOUNDS, THRESHOLDS
 
 METRICS = ("recency", "frequency", "monetary")
@@ -64,22 +66,46 @@ def with_recency(facts: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def rfm(tickets: DataFrame, as_of: datetime.date | None = None) -> DataFrame:
-    """RFM table; recency counts from ``as_of``, by default the last date of the batch."""
-    day = batch_date(tickets).scalar() if as_of is None else F.lit(as_of)
-    return with_recency(customer_facts(tickets), day)
+@dataclass(frozen=True)
+class Batch:
+    """What one pass over the tickets found: the RFM table and counts of its customers."""
+
+    table: DataFrame
+    last_date: datetime.date | None
+    customers: int
+    undated: int
 
 
-def batch_date(tickets: DataFrame) -> DataFrame:
-    """Last date of the tickets, one row. Reads the date column and parses each key once."""
-    return tickets.select("datekey").distinct().agg(F.max(purchase_date()).alias("max_date"))
+def rfm_batch(tickets: DataFrame, scratch: Scratch, as_of: datetime.date | None = None) -> Batch:
+    """Reads the tickets once: the write of the customer facts also collects the last date
+    of the batch and the counts, as observed metrics of the rows that pass."""
+    seen = Observation()
+    facts = customer_facts(tickets).observe(
+        seen,
+        F.max("last_date").alias("last_date"),
+        F.count(F.lit(1)).alias("customers"),
+        F.count_if(F.col("last_date").isNull()).alias("undated"),
+    )
+    written = scratch.table(facts, "facts")
+    found = seen.get
+    day = found.get("last_date") if as_of is None else as_of
+    return Batch(
+        with_recency(written, F.lit(day).cast("date")),
+        found.get("last_date"),
+        found.get("customers", 0),
+        found.get("undated", 0),
+    )
 
 
-def rfm_from_facts(facts: DataFrame, as_of: datetime.date | None = None) -> DataFrame:
-    """RFM table from written customer facts, whose latest date is that of the batch."""
-    if as_of is None:
-        as_of = facts.agg(F.max("last_date").alias("last_date")).first()["last_date"]
-    return with_recency(facts, F.lit(as_of).cast("date"))
+def rfm(tickets: DataFrame, as_of: datetime.date | None = None) -> DataFrame:
+    """RFM table; recency counts from ``as_of``, by default the last date of the batch.
+
+    The last date is known only when all tickets are read, so without ``as_of`` their
+    aggregate is written to the shared folder here, and the tickets are not read again.
+    """
+    if as_of is not None:
+        return with_recency(customer_facts(tickets), F.lit(as_of))
+    return rfm_batch(tickets, Scratch(tickets.sparkSession)).table
 
 
 def trim_bounds(

@@ -13,8 +13,7 @@ from basketry.operators.dataset import RetailTables, WrittenDataset
 from basketry.operators.rfm import (
     Bounds,
     Thresholds,
-    customer_facts,
-    rfm_from_facts,
+    rfm_batch,
     thresholds,
     trim,
     trim_audit,
@@ -58,7 +57,7 @@ def train(
     writers.require_free(spark, model_output)
     with Scratch(spark) as scratch:
         tickets = readers.read_tickets(spark, input, input_format)
-        table = rfm_from_facts(scratch.table(customer_facts(tickets), "facts"), as_of)
+        table = rfm_batch(tickets, scratch, as_of).table
 
         bounds = trim_bounds(table, r_percentile, f_percentile, m_percentile)
         audit = trim_audit(table, bounds).first().asDict()
@@ -103,7 +102,7 @@ def run(
     scaler = readers.read_scaler(scaler_input) if scaler_input else None
     with Scratch(spark) as scratch:
         tickets = readers.read_tickets(spark, input, input_format)
-        table = rfm_from_facts(scratch.table(customer_facts(tickets), "facts"), as_of)
+        table = rfm_batch(tickets, scratch, as_of).table
         features, _ = standardise(score_customers(table, quartiles), scaler)
         writers.write_predictions(
             assign(features, centroids), prediction_output, plain_folders=plain_folders

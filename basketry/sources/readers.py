@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 from basketry import schemas
 from basketry.operators.rfm import METRICS, Thresholds
 
+OTHER_FIELDS = "other_fields"
+
 
 def read_tickets(
     spark: SparkSession,
@@ -29,11 +31,16 @@ def read_tickets(
 ) -> DataFrame:
     """Ticket lines with every field of the source, as lines count as equal only if all agree.
 
-    Fields beyond the known ones follow these, with their own names and types. For JSON
-    one pass over the files finds them; ``further`` (a schema, empty for none) saves it.
+    JSON is read once. Fields beyond the known ones are kept together as ``other_fields``,
+    JSON text in one form for equal content: keys in order, numbers without
+    idle zeros, null fields left out (null if none is left). ``further`` (a schema, empty
+    for none) reads such fields as columns of their own instead. A line that holds no JSON object is a row without fields whose
+    ``other_fields`` is the line; a line that is an array of objects is a row for each.
     Fields in ``ignore`` are left out, and so out of the comparison. Parquet or ORC
-    instead of JSON needs no such pass and lets later steps read single columns.
+    instead of JSON gives all columns, and lets later steps read single ones.
     """
+    if fmt == "json" and further is None:
+        return _read_lines(spark, path, schemas.TICKETS, invalid, ignore)
     return _read(spark, path, schemas.TICKETS, fmt, invalid, further, ignore)
 
 
@@ -102,6 +109,57 @@ def read_scaler(path: str) -> StandardScalerModel:
     return StandardScalerModel.load(path)
 
 
+def _read_lines(
+    spark: SparkSession, path: str, schema: T.StructType, invalid: str, ignore: Sequence[str]
+) -> DataFrame:
+    """Lines of JSON, each parsed once as a VARIANT; see :func:`read_tickets`."""
+    _check_invalid(invalid)
+    blank = F.trim("line", F.lit(" \t\r\n")) == ""
+    lines = spark.read.text(path).select(F.col("value").alias("line")).where(~blank)
+    parsed = lines.select("line", F.try_parse_json("line").alias("whole"))
+    items = F.coalesce(F.try_variant_get("whole", "$", "array<variant>"), F.array("whole"))
+    single = parsed.select("line", F.explode(items).alias("item"))
+    fields = single.select("line", "item", F.try_variant_get("item", "$", "map<string,variant>").alias("fields"))
+    # Keys that come twice, and the like, are no VARIANT, but known fields can be read.
+    texts = T.StructType([T.StructField(name, T.StringType()) for name in schema.names])
+    odd = F.when(F.col("fields").isNull(), F.from_json("line", texts)).alias("odd")
+    raw = fields.select("line", "fields", "item", odd).select(
+        *[
+            F.when(F.col("fields").isNull(), F.col("odd")[f.name])
+            .otherwise(F.try_variant_get("item", f"$.{f.name}", "string"))
+            .alias(f.name)
+            for f in schema
+        ],
+        F.when(F.col("fields").isNull(), F.col("line"))
+        .otherwise(_canonical(F.col("fields"), {*schema.names, *ignore}))
+        .alias(OTHER_FIELDS),
+    )
+    known = [_checked(f, raw.schema, invalid).alias(f.name) for f in schema if f.name not in ignore]
+    return raw.select(*known, OTHER_FIELDS)
+
+
+def _canonical(fields: Column, without: set[str]) -> Column:
+    """JSON text of a map of VARIANT values, the same for equal content."""
+    texts = F.transform_values(
+        F.map_filter(fields, lambda k, _: ~k.isin(*sorted(without))),
+        lambda _, value: F.regexp_replace(F.to_json(value), r"^(-?[0-9]+)\.0$", "$1"),
+    )
+    kept = F.array_sort(F.map_entries(F.map_filter(texts, lambda _, text: text != "null")))
+    quoted = F.transform(
+        kept,
+        lambda e: F.concat(
+            F.lit('"'), F.replace(F.replace(e["key"], F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')),
+            F.lit('":'), e["value"],
+        ),
+    )
+    return F.when(F.size(kept) > 0, F.concat(F.lit("{"), F.array_join(quoted, ","), F.lit("}")))
+
+
+def _check_invalid(invalid: str) -> None:
+    if invalid not in ("raise", "null"):
+        raise ValueError(f"invalid is 'raise' or 'null', not {invalid!r}")
+
+
 def _read(
     spark: SparkSession,
     path: str,
@@ -111,8 +169,7 @@ def _read(
     further: str | T.StructType | None,
     ignore: Sequence[str] = (),
 ) -> DataFrame:
-    if invalid not in ("raise", "null"):
-        raise ValueError(f"invalid is 'raise' or 'null', not {invalid!r}")
+    _check_invalid(invalid)
     raw = _raw(spark, path, schema, fmt, further)
     others = [c for c in raw.columns if c not in schema.names and c not in ignore]
     known = [
@@ -132,9 +189,7 @@ def _raw(
     if fmt != "json":
         found = spark.read.format(fmt).load(path)
         return found if further is None else found.select(*[c for c in found.columns if c in schema.names])
-    if further is None:
-        further = spark.read.json(path).schema
-    elif isinstance(further, str):
+    if not isinstance(further, T.StructType):
         further = T.StructType.fromDDL(further) if further else T.StructType()
     others = [f for f in further if f.name not in schema.names]
     texts = [T.StructField(name, T.StringType()) for name in schema.names]

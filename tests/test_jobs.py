@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from basketry import schemas
 from basketry.functions import storage
+from basketry.functions.columns import SEGMENTS
+from basketry.functions.storage import Scratch
 from basketry.operators import rfm
 from basketry.operators.dataset import RetailTables, WrittenDataset
 from basketry.plans import jobs
@@ -97,6 +99,75 @@ def test_run_on_the_same_input_gives_the_same_segments(spark, folder, trained):
         assert again.count() == found.where("segmento != 'zz'").count()
 
 
+def _labelled(spark, names):
+    rows = [(i, name, float(i)) for i, name in enumerate(names)]
+    return spark.createDataFrame(rows, "customerid long, segmento string, monetary double").repartition(3)
+
+
+def _folder_rows(spark, path):
+    found = spark.read.schema("customerid long, segmento string, monetary double").json(str(path))
+    return sorted(tuple(r) for r in found.select("customerid", "segmento", "monetary").collect())
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_both_layouts_come_from_one_pass(spark, tmp_path, plain):
+    names = ["best", "lost", "best", "7", "risk"] * 4
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    source = _labelled(spark, names)
+    for _ in range(2):  # the second time over the first
+        writers.write_predictions(source.mapInArrow(noted, source.schema), str(tmp_path), plain_folders=plain)
+    assert seen.value == 2 * len(names)  # each row was computed once a write
+    wanted = sorted((i, name, float(i)) for i, name in enumerate(names))
+    assert _folder_rows(spark, tmp_path / "all") == wanted
+    for name in {*names, "promising"} if plain else set(names):
+        place = tmp_path / name if plain else tmp_path / "segments" / f"segmento={name}"
+        found = _folder_rows(spark, place if plain else tmp_path / "segments")
+        assert [r for r in found if r[1] == name] == [r for r in wanted if r[1] == name]
+        assert (place / "_SUCCESS").exists() or not plain
+    assert sorted(p.name for p in tmp_path.iterdir()) == sorted(
+        ["all", *(sorted({*names, *SEGMENTS}) if plain else ["segments"])]
+    )
+
+
+@pytest.mark.parametrize("place", ["all", "best", "risk"])
+def test_a_failed_move_leaves_the_old_folders(spark, tmp_path, monkeypatch, place):
+    names = ["best", "risk", "lost"]
+    writers.write_predictions(_labelled(spark, names), str(tmp_path), plain_folders=True)
+    before = {n: _folder_rows(spark, tmp_path / n) for n in ("all", *names)}
+    move = writers._FileSystem.move
+
+    def broken(self, source, target):
+        if target == f"{tmp_path}/{place}" and "/old/" not in source:
+            raise OSError("refused")
+        move(self, source, target)
+
+    monkeypatch.setattr(writers._FileSystem, "move", broken)
+    with pytest.raises(OSError, match="refused"):
+        writers.write_predictions(_labelled(spark, names * 5), str(tmp_path), plain_folders=True)
+    assert {n: _folder_rows(spark, tmp_path / n) for n in before} == before
+    assert not [p for p in tmp_path.iterdir() if p.name.startswith("_")]
+
+
+def test_a_failed_write_leaves_the_old_folders_and_none_of_its_own(spark, tmp_path):
+    writers.write_predictions(_labelled(spark, ["best"]), str(tmp_path))
+    broken = _labelled(spark, ["best", "lost"]).withColumn("monetary", F.raise_error(F.lit("stop")).cast("double"))
+    with pytest.raises(Exception, match="stop"):
+        writers.write_predictions(broken, str(tmp_path))
+    assert _folder_rows(spark, tmp_path / "all") == [(0, "best", 0.0)]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["all", "segments"]
+
+
+def test_no_predictions_make_empty_folders(spark, tmp_path):
+    writers.write_predictions(_labelled(spark, ["best"]).where("false"), str(tmp_path), plain_folders=True)
+    assert _folder_rows(spark, tmp_path / "all") == _folder_rows(spark, tmp_path / "best") == []
+
+
 def test_run_on_one_file_counts_from_its_own_last_date(spark, folder, trained):
     jobs.run(
         spark,
@@ -175,14 +246,49 @@ def test_ticket_fields_in_json(spark, tmp_path):
         '{"customerid": null, "datekey": "2020-02-01", "originalamount": 5}\n'
     )
     tickets = readers.read_tickets(spark, f"{tmp_path}/tickets_*.json")
-    assert tickets.columns == [*schemas.TICKETS.names, "till"]
-    found = rows_of(
-        tickets, "customerid", "datekey", "extendedamount", "originalamount", "quantity", "till"
+    assert tickets.columns == [*schemas.TICKETS.names, "other_fields"]
+    columns = ("customerid", "datekey", "extendedamount", "originalamount", "quantity")
+    found = rows_of(tickets, *columns, "other_fields")
+    first, second = (7, None, Decimal("12.34567"), None, 2.0), (None, "2020-02-01", None, Decimal("5"), None)
+    assert found == [(*first, '{"till":"x"}'), (*second, None)]
+    typed = readers.read_tickets(spark, f"{tmp_path}/tickets_*.json", further="till string")
+    assert rows_of(typed, *columns, "till") == [(*first, "x"), (*second, None)]
+
+
+def test_equal_lines_have_one_form(spark, tmp_path):
+    (tmp_path / "t.json").write_text(
+        '{"customerid": 1, "till": 2, "at": {"y": 1.50, "x": [1.0, null]}, "note": null}\n'
+        ' {"at":{"x":[1,null],"y":1.5},"till":2.0,"customerid":"1"} \n'
+        '\n  \t\n'
+        '[{"customerid": 1, "till": 2, "at": {"y": 1.5, "x": [1, null]}}, {"customerid": 1}]\n'
+        '{"customerid": 1, "till": "2", "at": {"y": 1.5, "x": [1, null]}}\n'
+        '{"customerid": 1, "a\\"b.c": true}\n'
     )
-    assert found == [
-        (7, None, Decimal("12.34567"), None, 2.0, "x"),
-        (None, "2020-02-01", None, Decimal("5"), None, None),
-    ]
+    tickets = readers.read_tickets(spark, f"{tmp_path}/t.json")
+    found = rows_of(tickets.dropDuplicates(), "customerid", "other_fields")
+    assert sorted(found, key=str) == sorted([
+        (1, None), (1, '{"at":{"x":[1,null],"y":1.5},"till":2}'), (1, '{"at":{"x":[1,null],"y":1.5},"till":"2"}'),
+        (1, '{"a\\"b.c":true}'),
+    ], key=str)
+
+
+def test_lines_that_are_no_objects(spark, tmp_path):
+    (tmp_path / "t.json").write_text('no json\n{"customerid": 1\n5\n{"customerid": 2, "customerid": 3, "x": 1}\n[]\n')
+    tickets = readers.read_tickets(spark, f"{tmp_path}/t.json", invalid="null")
+    found = sorted(rows_of(tickets, "customerid", "other_fields"), key=str)
+    assert ("no json" in {o for _, o in found}) and (None, "5") in found
+    assert [c for c, o in found if o and "3" in o] == [3]
+    assert len(found) == 4
+
+
+def test_json_is_read_once_and_empty_files_give_no_lines(spark, tmp_path):
+    (tmp_path / "t.json").write_text("")
+    tickets = readers.read_tickets(spark, f"{tmp_path}/t.json")
+    plan = tickets._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "FileScan json" not in plan
+    with Scratch(spark) as scratch:
+        batch = rfm.rfm_batch(tickets, scratch)
+        assert (batch.table.count(), batch.last_date, batch.customers) == (0, None, 0)
 
 
 def test_lines_that_differ_in_any_field_count_apart(spark, tmp_path):

@@ -1,6 +1,7 @@
 """Properties of physical plans that matter on large inputs."""
 
 import re
+import shutil
 
 import pytest
 
@@ -10,6 +11,7 @@ from basketry.functions import sizing
 from basketry.functions.sizing import broadcast_within, measured_bytes
 from basketry.operators import insights, rfm
 from basketry.operators.dataset import RetailTables
+from basketry.sources import readers
 from tests.toys import frame, rows_of, tickets
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -72,8 +74,17 @@ def test_reports_read_only_their_columns(stored):
     assert "datekey" not in plan and "cardtype" not in plan
 
 
-def test_batch_date_reads_one_column(stored):
-    assert "ReadSchema: struct<datekey:string>" in _plan(rfm.rfm(stored.tickets))
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+def test_tickets_are_read_once(spark, stored, tmp_path, fmt):
+    """One scan in the pass that writes the facts, and none after it."""
+    path = tmp_path / "tickets"
+    stored.tickets.write.format(fmt).save(str(path))
+    read = readers.read_tickets(spark, str(path), fmt)
+    assert _plan(rfm.customer_facts(read)).count("FileScan") == 1
+    table = rfm.rfm(read)
+    shutil.rmtree(path)
+    assert table.count() == 41
+    assert table.where("recency = 0").count() > 0
 
 
 def test_lines_combine_before_each_shuffle(stored):

@@ -3,6 +3,7 @@ import datetime
 import pytest
 
 from basketry import schemas
+from basketry.functions.storage import Scratch
 from basketry.operators import rfm
 from tests.toys import rows_of, tickets
 
@@ -40,9 +41,10 @@ def test_recency_from_batch_date_or_given_day(spark):
     assert rows_of(rfm.rfm(lines), "customerid", "recency") == [(1, 20), (2, 0)]
     later = datetime.date(2020, 2, 10)
     assert rows_of(rfm.rfm(lines, later), "customerid", "recency") == [(1, 30), (2, 10)]
-    facts = rfm.customer_facts(lines)
-    assert rows_of(rfm.rfm_from_facts(facts)) == rows_of(rfm.rfm(lines))
-    assert rows_of(rfm.rfm_from_facts(facts, later)) == rows_of(rfm.rfm(lines, later))
+    with Scratch(spark) as scratch:
+        batch = rfm.rfm_batch(lines, scratch, later)
+        assert (batch.last_date, batch.customers, batch.undated) == (datetime.date(2020, 1, 31), 2, 0)
+        assert rows_of(batch.table) == rows_of(rfm.rfm(lines, later))
 
 
 def test_unparsable_date_is_null(spark):
