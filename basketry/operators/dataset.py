@@ -13,7 +13,9 @@ built in another order, with the same rows:
 * The outer join of predictions with tickets is an inner join plus the predictions
   without a ticket. Adaptive execution can split an oversized customer on the ticket
   side of an inner join, which it cannot on the inner side of an outer join.
-* Stores and products are broadcast where they measure small enough.
+* Stores and products are broadcast where they measure small enough. Larger ones join by
+  shuffle with the lines of hot stores and products dealt to several tasks
+  (:mod:`basketry.functions.skew`).
 
 Reports that only count lines or add amounts of products take ``sold`` or ``baskets``:
 lines are summed up per segment, store and product right after they met the customers,
@@ -27,7 +29,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from basketry.functions.sizing import broadcast_within
+from basketry.functions.sizing import BROADCAST_BYTES, broadcast_within
+from basketry.functions.skew import join_dimension
 
 SEGMENT_COLUMNS = ("segmento", "prediction")
 LINE_COLUMNS = (
@@ -96,6 +99,7 @@ class RetailTables:
     stores: DataFrame
     products: DataFrame
     classification: DataFrame
+    broadcast_bytes: int = BROADCAST_BYTES
 
     def dataset(self) -> DataFrame:
         """The whole joined relation."""
@@ -111,9 +115,9 @@ class RetailTables:
             self.tickets.select(*LINE_COLUMNS)
             .distinct()
             .join(self._members(SEGMENT_COLUMNS, CUSTOMER_COLUMNS), "customerid")
-            .join(self._stores(), "storeid", "left")
-            .join(self._products(PRODUCT_COLUMNS + CLASS_COLUMNS), "productid", "left")
         )
+        joined = self._dimension(joined, self._stores(), "storeid")
+        joined = self._dimension(joined, self._products(PRODUCT_COLUMNS + CLASS_COLUMNS), "productid")
         return joined.select(*columns).unionByName(
             self._without_tickets(SEGMENT_COLUMNS).select(*self._or_null(columns))
         )
@@ -133,9 +137,9 @@ class RetailTables:
         members = self._members(segment, _among(columns, CUSTOMER_COLUMNS))
         joined = self.tickets.select(*line).distinct().join(members, "customerid")
         if store:
-            joined = joined.join(self._stores(), "storeid", "left")
+            joined = self._dimension(joined, self._stores(), "storeid")
         if product:
-            joined = joined.join(self._products(product), "productid", "left")
+            joined = self._dimension(joined, self._products(product), "productid")
         found = joined.select(*columns).unionByName(
             self._without_tickets(segment or SEGMENT_COLUMNS).select(*self._or_null(columns))
         )
@@ -149,16 +153,19 @@ class RetailTables:
         repeated the lines. Predictions without a ticket have no lines.
         """
         sums = (F.sum("lines").alias("lines"), F.sum("paid").alias("paid"))
-        return (
+        summed = (
             self.tickets.select(*LINE_COLUMNS)
             .distinct()
             .join(self._members(SEGMENT_COLUMNS, CUSTOMER_COLUMNS), "customerid")
             .groupBy("segmento", "storeid", "productid")
             .agg(*_line_sums())
-            .join(self._stores(), "storeid", "left")
+        )
+        # A store or product has one row per segment here, or one per segment and other key.
+        return (
+            summed.join(broadcast_within(self._stores(), self.broadcast_bytes), "storeid", "left")
             .groupBy("segmento", "productid")
             .agg(*sums)
-            .join(self._products(PRODUCT_COLUMNS + CLASS_COLUMNS), "productid", "left")
+            .join(self.attributes(*PRODUCT_COLUMNS, *CLASS_COLUMNS), "productid", "left")
             .select("segmento", "productid", *attributes, "lines", "paid")
         )
 
@@ -169,7 +176,10 @@ class RetailTables:
 
     def attributes(self, *attributes: str) -> DataFrame:
         """Products with the distinct values of their ``attributes``."""
-        return self._products(attributes)
+        return broadcast_within(self._products(attributes), self.broadcast_bytes)
+
+    def _dimension(self, lines: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+        return join_dimension(lines, dimension, key, counted=self.tickets, limit=self.broadcast_bytes)
 
     def _members(self, segment: Iterable[str], attributes: Iterable[str]) -> DataFrame:
         """Predicted customers with ``attributes`` from the customer table.
@@ -186,7 +196,7 @@ class RetailTables:
         return members.hint("rebalance")
 
     def _stores(self) -> DataFrame:
-        return broadcast_within(self.stores.select("storeid", *STORE_COLUMNS).distinct())
+        return self.stores.select("storeid", *STORE_COLUMNS).distinct()
 
     def _products(self, attributes: Iterable[str]) -> DataFrame:
         """Products with ``attributes`` of their own and of their family's class."""
@@ -197,7 +207,7 @@ class RetailTables:
         if classes:
             classification = self.classification.select("merchandisefamily", *classes).distinct()
             products = products.join(classification, "merchandisefamily", "left")
-        return broadcast_within(products.select("productid", *attributes).distinct())
+        return products.select("productid", *attributes).distinct()
 
     def _without_tickets(self, segment: Iterable[str]) -> DataFrame:
         """The segments of predicted customers without a ticket, each once."""

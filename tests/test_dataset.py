@@ -1,5 +1,7 @@
 """The derived relation against the joins and the distinct that define it."""
 
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,8 +144,8 @@ def test_duplicate_dimension_key_multiplies_lines(tables):
     assert rows_of(rows, "city", "age") == [("Lugo", 40), ("Lugo", 41), ("Vigo", 40), ("Vigo", 41)]
 
 
-def test_large_dimensions_join_without_broadcast(spark, tables, defined, monkeypatch):
-    monkeypatch.setattr(ds, "broadcast_within", lambda df: df)
+def test_large_dimensions_join_without_broadcast(spark, tables, defined):
+    tables = dataclasses.replace(tables, broadcast_bytes=0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         result = tables.dataset()
