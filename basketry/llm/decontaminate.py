@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from basketry.llm.tasks import alnum_words, map_arrow, table, texts_of, with_length
 
@@ -262,7 +263,7 @@ def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterato
         yield held
 
 
-def _search(docs: DataFrame, schema: str, windows: Windows, output) -> DataFrame:
+def _search(docs: DataFrame, schema: StructType, windows: Windows, output) -> DataFrame:
     """Maps shards of the rows of ``docs`` to ``output(batch, row numbers, words, hits)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -290,7 +291,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return merged
 
 
-def _one_pass(docs: DataFrame, windows: Windows, carried: str) -> DataFrame:
+def _one_pass(docs: DataFrame, windows: Windows, carried: StructType) -> DataFrame:
     """Searches one block; spans and items found for earlier blocks are taken over."""
     names = [f.name for f in docs.schema]
     earlier = "d_start" in names
@@ -312,8 +313,8 @@ def _one_pass(docs: DataFrame, windows: Windows, carried: str) -> DataFrame:
             "d_items": items,
         }
 
-    schema = f"{carried}, d_words long, d_start array<long>, d_end array<long>, d_items array<string>"
-    return _search(docs, schema, windows, output)
+    found = StructType.fromDDL("d_words long, d_start array<long>, d_end array<long>, d_items array<string>")
+    return _search(docs, StructType([*carried, *found]), windows, output)
 
 
 def find_contamination(rows: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -323,7 +324,7 @@ def find_contamination(rows: DataFrame, benchmark: DataFrame, width: int = WINDO
     One narrow pass over the texts for each block of the benchmark; the usual benchmark is
     one block. An empty benchmark hits nothing.
     """
-    carried = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    carried = rows.schema
     found = None
     for block in item_blocks(benchmark):
         found = _one_pass(rows if found is None else found, windows_of(block, width), carried)

@@ -1,7 +1,7 @@
 """Fuzzy line deduplication by MinHash.
 
 Lines are compared as sets of character shingles of their normal form. Equal normal forms
-are one node from the start. Signatures of the nodes are cut into bands; nodes that share
+are one node from the start; short lines take part as such nodes alone. Signatures of the nodes are cut into bands; nodes that share
 a band are candidates, and a candidate link counts only if the exact Jaccard similarity of
 the shingle sets reaches the threshold. Distributed union-find joins the links, and of
 each component only the first line of the first document stays.
@@ -146,6 +146,8 @@ def bands(forms: list[bytes]) -> np.ndarray:
 
 
 def long_enough(form: bytes) -> bool:
+    if form.startswith(b"\0"):
+        return False
     return len(form) >= LEAST_CHARS and (form.isascii() or len(form.decode()) >= LEAST_CHARS)
 
 
@@ -219,14 +221,28 @@ def similar_forest(
 
 
 def _lines(text: bytes) -> Iterator[tuple[int, bytes]]:
-    """Number and normal form of the lines that take part."""
-    text = text.translate(_FOLD_LINES)
-    while b"  " in text:
-        text = text.replace(b"  ", b" ")
-    for number, line in enumerate(text.split(b"\n")):
+    """Number and normal form of the lines that are not blank.
+
+    A line of marks alone has no normal form; it stands for itself, behind a zero byte."""
+    folded = text.translate(_FOLD_LINES)
+    while b"  " in folded:
+        folded = folded.replace(b"  ", b" ")
+    given = None
+    for number, line in enumerate(folded.split(b"\n")):
         form = line.strip(b" ")
-        if long_enough(form):
-            yield number, form
+        if not form:
+            given = given or text.split(b"\n")
+            marks = given[number].strip()
+            if not marks:
+                continue
+            form = b"\0" + marks
+        yield number, form
+
+
+def _compared(texts: list[bytes]) -> list[bytes]:
+    """Different forms that are long enough to be compared by their shingles. Shorter ones,
+    and lines of marks, are alike only where they are equal."""
+    return list({form for text in texts for _, form in _lines(text) if long_enough(form)})
 
 
 def row_key() -> Column:
@@ -235,7 +251,7 @@ def row_key() -> Column:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """``row_key``, ``doc_id``, ``line_no``, ``node`` of every line that takes part."""
+    """``row_key``, ``doc_id``, ``line_no``, ``node`` of every line that is not blank."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -254,11 +270,11 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def banded(docs: DataFrame) -> DataFrame:
-    """``band``, ``node`` of every node, once for each batch that has it."""
+    """``band``, ``node`` of every compared node, once for each batch that has it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            forms = list({form for text in texts_of(batch) for _, form in _lines(text)})
+            forms = _compared(texts_of(batch))
             for low in range(0, len(forms), SLICE // BANDS):
                 part = forms[low : low + SLICE // BANDS]
                 nodes = np.array([node_of(x) for x in part], dtype=np.int64)
@@ -342,11 +358,11 @@ def blocks_of(cells: DataFrame) -> DataFrame:
 
 
 def forms_of(docs: DataFrame) -> DataFrame:
-    """``node``, ``form`` of every node, once for each batch that has it."""
+    """``node``, ``form`` of every compared node, once for each batch that has it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            forms = list({form for text in texts_of(batch) for _, form in _lines(text)})
+            forms = _compared(texts_of(batch))
             for low in range(0, len(forms), SLICE):
                 part = forms[low : low + SLICE]
                 yield {"node": [node_of(x) for x in part], "form": [x.decode() for x in part]}
@@ -411,8 +427,8 @@ def removed_lines(docs: DataFrame, scratch: Scratch, threshold: float = THRESHOL
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` with ``text`` cleaned, and ``n_lines``, ``n_removed``, ``removed``.
 
-    Lines of fewer than ``LEAST_CHARS`` characters in normal form, blank ones among them,
-    always stay. A null text stays null. Rows equal in id and text are one document twice:
+    Lines of fewer than ``LEAST_CHARS`` characters in normal form, and lines of marks alone,
+    go only where an equal one came before. Blank lines always stay. A null text stays null. Rows equal in id and text are one document twice:
     both keep the same lines. The other columns are carried along (one named like an added
     column is replaced). An empty table gives an empty one. The text itself is shuffled
     once at the end, or not at all where the removed lines measure little.

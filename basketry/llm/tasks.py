@@ -34,11 +34,11 @@ def blank_words(text: bytes) -> list[bytes]:
 
 def map_arrow(
     df: DataFrame,
-    schema: str,
+    schema: str | StructType,
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]],
 ) -> DataFrame:
     """``mapInArrow`` with a function that yields columns as a dict of lists or arrays."""
-    kind = to_arrow_schema(StructType.fromDDL(schema))
+    kind = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in function(batches):

@@ -266,7 +266,11 @@ def test_line_dedup(docs, empty):
             lines[(doc_id is not None, doc_id or 0, text, number)] = form
     forms = sorted(set(lines.values()))
     sets = [linededup.shingles(f.decode()) for f in forms]
-    label = _components(len(forms), lambda i, j: linededup.jaccard(sets[i], sets[j]) >= linededup.THRESHOLD)
+    compared = [linededup.long_enough(f) for f in forms]
+    label = _components(
+        len(forms),
+        lambda i, j: compared[i] and compared[j] and linededup.jaccard(sets[i], sets[j]) >= linededup.THRESHOLD,
+    )
     where = {f: label[i] for i, f in enumerate(forms)}
     found = linededup.dedup_lines(docs).collect()
     assert len(found) == len(given)
@@ -282,6 +286,42 @@ def test_line_dedup(docs, empty):
     assert linededup.dedup_lines(empty).count() == 0
 
 
+def test_short_lines_go_as_exact_copies_and_blank_ones_stay(spark):
+    texts = ["of\n\nRead more\n---\n  \n***", "OF \nread more!\n---\n\n----\n...", "\n\n of\n***\nRead mores"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: r.text for r in linededup.dedup_lines(docs).collect()}
+    assert found == {0: texts[0], 1: "\n----\n...", 2: "\n\nRead mores"}
+
+
+def test_no_line_of_a_table_comes_twice(spark):
+    """Without a least length, by a plain count over the given table."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    left = Counter(
+        form for r in linededup.dedup_lines(docs).collect() for _, form in linededup._lines((r.text or "").encode())
+    )
+    every = {form for r in docs.collect() for _, form in linededup._lines((r.text or "").encode())}
+    assert max(left.values()) == 1
+    assert {f for f in every if not linededup.long_enough(f)} == {f for f in left if not linededup.long_enough(f)}
+
+
+def test_pipeline_stages_take_any_column_names(spark, tmp_path):
+    rng = random.Random(12)
+    long = " ".join(prose(rng, 80) for _ in range(400))
+    made = [(i, prose(rng, 90), "en", "a", 1) for i in range(12)] + [(50, long * 25, "en", "a", 1), (None, None, None, None, None)]
+    frame = spark.createDataFrame(made, DOCS)
+    names = ("a.b", "with blank", "d_start", "c_row", "x`y", "ä-ö", "text_", "l_row")
+    frame = frame.withColumns({n.replace("`", "~"): F.lit("other") for n in names})
+    benchmark = spark.createDataFrame([(1, " ".join(made[3][1].split()[20:50]))], "item_id long, text string")
+    benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
+    for at in (frame, frame.limit(0)):
+        scratch = Scratch(spark)
+        for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            at = scratch.table(stage(spark, at, str(tmp_path)), f"t-{number}")
+            if number < 4:
+                assert at.columns == frame.columns
+                assert {r["a.b"] for r in at.collect()} <= {"other"}
+
+
 def test_line_dedup_in_blocks(docs, monkeypatch):
     """Cut cells and passed-on bands give what whole ones give."""
     whole = rows(linededup.dedup_lines(docs).select("doc_id", "text"))
@@ -469,8 +509,8 @@ def test_lines_shingle_numbers_and_signatures_equal_their_definitions():
 
     for _ in range(2000):
         text = some("abc  ,.\t\rAé日x\n\n0", 60).encode()
-        forms = enumerate(map(linededup.normal_form, text.split(b"\n")))
-        assert list(linededup._lines(text)) == [(n, f) for n, f in forms if linededup.long_enough(f)]
+        forms = [linededup.normal_form(x) or (b"\0" + x.strip() if x.strip() else b"") for x in text.split(b"\n")]
+        assert list(linededup._lines(text)) == [(n, f) for n, f in enumerate(forms) if f]
     lines = [some("abcé ", 90) + "x" for _ in range(300)] + ["a", "ab日", "日本語" * 9]
     encoded = [line.encode() for line in lines]
     alone = [linededup.signatures([line])[0].tolist() for line in encoded]
