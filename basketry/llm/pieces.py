@@ -16,8 +16,9 @@ from __future__ import annotations
 
 import codecs
 import re
+from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from itertools import chain
 
 import ahocorasick
@@ -64,6 +65,7 @@ class PieceModel:
                 ("a normalisation table", bool(text.precompiled_charsmap)),
                 ("blanks removed", text.remove_extra_whitespaces),
                 ("blanks not escaped", not text.escape_whitespaces),
+                ("characters of pieces that are no pieces", not {c for p in model.pieces if p.type == kinds.NORMAL for c in p.piece} <= {p.piece for p in model.pieces}),
                 ("user-defined or unused pieces", any(p.type in (kinds.USER_DEFINED, kinds.UNUSED) for p in model.pieces)),
             )
             if found
@@ -143,28 +145,35 @@ class _Edges:
         return cls(len(symbols) == 1, falling, first, last)
 
 
-@dataclass
+_FREE = -1  # stands before a text, and where a character of no piece ends
+
+
 class Encoder:
-    """Encodes and decodes with one model; made once in each task."""
+    """Encodes and decodes with one model; made once in each task.
 
-    model: PieceModel
-    segments: dict[str, tuple[int, ...]] = field(init=False)
+    A match of the automaton carries the size of its token and, by the id of the token before
+    it, its id where the two are compatible, else ``_FREE``, as far as that was asked.
+    """
 
-    def __post_init__(self) -> None:
-        model = self.model
+    def __init__(self, model: PieceModel):
+        self.model = model
+        self.token = dict(zip(model.ids.values(), model.ids))
+        self.size = [0] * model.size
+        self.mark = next(c for c in map(chr, range(0x110000)) if c not in model.ids)
         self.automaton = ahocorasick.Automaton()
-        for piece in model.ids:
-            self.automaton.add_word(piece, piece)
+        self.automaton.add_word(self.mark, (0, {}))
+        for piece, number in model.ids.items():
+            self.size[number] = len(piece)
+            self.automaton.add_word(piece, (len(piece), {}))
         self.automaton.make_automaton()
         inner = [p for p in model.ids if len(p) > 1]
         self.pairs = {p[i : i + 2] for p in inner for i in range(len(p) - 1)}
         self.grown: dict[str, _Edges] = {}
-        self.fits: dict[tuple[str, str], bool] = {}
-        self.segments = _Segments(self)
+        self.segments: dict[str, bytes] = {}  # ids of remembered segments, four bytes each
+        alone = "".join(c for c in "\n\t\r" if not any(c in p for p in inner))
         if any(SPACE in p.lstrip(SPACE) for p in inner):  # a piece spans the start of a word
             self.cut = re.compile("(?s).+")
         else:
-            alone = "".join(c for c in "\n\t\r" if not any(c in p for p in inner))
             own = f"|[{alone}]" if alone else ""
             self.cut = re.compile(f"{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+{own}")
         self.surface = [b""] * model.size
@@ -173,6 +182,8 @@ class Encoder:
         for byte, number in enumerate(model.byte_ids):
             self.surface[number] = bytes([byte])
         self.surface[model.unknown] = UNKNOWN.encode()
+        self.control = np.zeros(model.size, dtype=bool)
+        self.control[list(model.control)] = True
         self.starts = {i for p, i in model.ids.items() if p.startswith(SPACE)}
 
     def edges(self, token: str) -> _Edges:
@@ -184,11 +195,7 @@ class Encoder:
 
     def compatible(self, before: str, token: str) -> bool:
         """Whether ``token`` may follow ``before`` (empty: stand first)."""
-        found = self.fits.get((before, token))
-        if found is None:
-            found = self.edges(token).whole and (not before or self._apart(before, token))
-            self.fits[before, token] = found
-        return found
+        return self.edges(token).whole and (not before or self._apart(before, token))
 
     def _apart(self, before: str, token: str) -> bool:
         """Whether merging both together never joins symbols over their boundary.
@@ -217,69 +224,88 @@ class Encoder:
             else:
                 b += 1
 
-    def last_tokens(self, text: str) -> list[str]:
-        """For each prefix of ``text``, the empty one first, the last token of its encoding."""
-        last = [""] * (len(text) + 1)
-        fits, ids = self.fits, self.model.ids
-        for end, token in self.automaton.iter(text):
-            if last[end + 1]:
-                continue
-            before = last[end + 1 - len(token)]
-            if not before and end >= len(token):
-                before = self._unknown(last, text, end - len(token))
-            found = fits.get((before, token))
-            if found or (found is None and self.compatible(before, token)):
-                last[end + 1] = token
-        for end, char in enumerate(text):
-            if not last[end + 1]:
-                if char in ids:
-                    raise ValueError(f"no last token of {text[: end + 1]!r}: the model's merges are not ordered")
-                last[end + 1] = char
+    def last_tokens(self, texts: list[str]) -> list[int] | array:
+        """For each prefix of each of ``texts``, which stand in ascending order, the id of its
+        last token; ``_FREE`` where that is a character of no piece.
+
+        The table covers the texts joined by the mark: entry i is for the prefix that ends with
+        character i. What a text shares with the one before it is taken over from there.
+        """
+        whole = self.mark.join(texts)
+        none = [_FREE] if len(whole) <= CHARS else array("i", [_FREE])
+        last = none * (len(whole) + 1)  # the entry behind the last one is that of nothing at all
+        following, begin = 0, 0
+        for end, (size, fits) in self.automaton.iter(whole):
+            if last[end] < 0:
+                before = last[end - size]
+                found = fits.get(before)
+                if found is None:
+                    if not size:  # the mark, or a character like it
+                        if end != begin + len(texts[following]):
+                            continue
+                        shared = _shared(texts[following], texts[following + 1])
+                        last[end + 1 : end + 1 + shared] = last[begin : begin + shared]
+                        begin, following = end + 1, following + 1
+                        continue
+                    number = self.model.ids[whole[end - size + 1 : end + 1]]
+                    fits_here = self.compatible(self.token.get(before, ""), self.token[number])
+                    found = fits[before] = number if fits_here else _FREE
+                last[end] = found
         return last
 
-    def _unknown(self, last: list[str], text: str, end: int) -> str:
-        """The token that ends at a character that no match has reached."""
-        if not last[end + 1]:
-            last[end + 1] = text[end]
-        return last[end + 1]
-
-    def tokens(self, text: str) -> list[str]:
-        last, end, found = self.last_tokens(text), len(text), []
-        while end:
-            found.append(last[end])
-            end -= len(last[end])
-        return found[::-1]
-
-    def segment_ids(self, text: str) -> tuple[int, ...]:
-        found: list[int] = []
-        for token in self.tokens(text):
-            number = self.model.ids.get(token)
-            if number is not None:
-                found.append(number)
-            else:
-                found.extend(self.model.byte_ids[b] for b in token.encode())
-        return tuple(found)
+    def _learn(self, texts: list[str]) -> None:
+        """Ids of some segments, by one table of all of them."""
+        last, size, ids = self.last_tokens(texts), self.size, self.model.ids
+        begin = 0
+        for text in texts:
+            end, found = begin + len(text), []
+            while end > begin:
+                number = last[end - 1]
+                if number >= 0:
+                    found.append(number)
+                    end -= size[number]
+                    continue
+                end -= 1
+                char = text[end - begin]
+                if char in ids:
+                    raise ValueError(f"no last token of {text[: end + 1 - begin]!r}: merges without an order")
+                found.extend(self.model.byte_ids[b] for b in reversed(char.encode()))
+            found.reverse()
+            self.segments[text] = array("i", found).tobytes()
+            begin += len(text) + 1
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, without begin or end ids, as 32-bit numbers."""
+        prefix = SPACE if self.model.prefix else ""
+        parts = [self.cut.findall(prefix + t.replace(" ", SPACE)) if t else [] for t in texts]
+        if len(self.segments) > CACHED:
+            self.segments.clear()
+        unknown = sorted(set(chain.from_iterable(parts)).difference(self.segments))
+        for low, high in _runs([len(t) for t in unknown], CHARS):
+            self._learn(unknown[low:high])
+        found = [b"".join(map(self.segments.__getitem__, part)) for part in parts]
+        for text in unknown:
+            if len(text) > CACHED_CHARS:
+                del self.segments[text]
+        return found
 
-    def encode(self, text: str) -> Iterator[int]:
-        """Ids of a text, without begin or end ids."""
-        if text and self.model.prefix:
-            text = " " + text
-        return chain.from_iterable(map(self.segments.__getitem__, self.cut.findall(text.replace(" ", SPACE))))
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.encode_all([text])[0], np.int32).tolist()
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: list[int] | np.ndarray) -> str:
         """Text of ids: bytes that are no UTF-8 read as U+FFFD each, one leading blank goes."""
-        if ids and min(ids) < 0:
-            raise ValueError(f"no id of the model: {min(ids)}")
-        control = self.model.control
-        if not control.isdisjoint(ids):  # they say nothing, but end a run of bytes
-            parts: list[list[int]] = [[]]
-            for i in ids:
-                parts.append([]) if i in control else parts[-1].append(i)
-            parts = [part for part in parts if part]
-        else:
-            parts = [ids] if ids else []
-        contents = [b"".join(map(self.surface.__getitem__, part)) for part in parts]
-        if parts and self.model.prefix and parts[0][0] in self.starts:
+        ids = np.asarray(ids, dtype=np.int64)
+        if not len(ids):
+            return ""
+        if ids.min() < 0:
+            raise ValueError(f"no id of the model: {ids.min()}")
+        control = self.control[ids]
+        parts = [ids]
+        if control.any():  # they say nothing, but end a run of bytes
+            parts = [p[1:] if self.control[p[0]] else p for p in np.split(ids, np.flatnonzero(control)) if len(p)]
+            parts = [p for p in parts if len(p)]
+        contents = [b"".join(map(self.surface.__getitem__, part.tolist())) for part in parts]
+        if parts and self.model.prefix and int(parts[0][0]) in self.starts:
             contents[0] = contents[0][1:]
         return "".join(map(_text, contents))
 
@@ -292,20 +318,13 @@ def _text(content: bytes) -> str:
         return content.decode(errors="each_byte")
 
 
-class _Segments(dict):
-    """Ids of segments; those of short ones are remembered, up to ``CACHED`` of them."""
-
-    def __init__(self, encoder: Encoder):
-        super().__init__()
-        self.encoder = encoder
-
-    def __missing__(self, text: str) -> tuple[int, ...]:
-        found = self.encoder.segment_ids(text)
-        if len(text) <= CACHED_CHARS:
-            if len(self) >= CACHED:
-                self.clear()
-            self[text] = found
-        return found
+def _shared(a: str, b: str) -> int:
+    """Number of characters that both begin with."""
+    most = min(len(a), len(b))
+    for i in range(most):
+        if a[i] != b[i]:
+            return i
+    return most
 
 
 def _runs(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
@@ -332,11 +351,13 @@ def encode_texts(docs: DataFrame, model: PieceModel) -> DataFrame:
         for batch in batches:
             texts = [t.decode(errors="replace") for t in texts_of(batch)]
             for low, high in _runs([len(t) for t in texts], CHARS):
-                parts = [np.fromiter(encoder.encode(t), np.int32) for t in texts[low:high]]
-                ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
+                parts = encoder.encode_all(texts[low:high])
+                ends = np.cumsum([0, *map(len, parts)]) // 4
                 yield {
                     "doc_id": batch.column("doc_id")[low:high],
-                    "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts))),
+                    "ids": pa.ListArray.from_arrays(
+                        pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(parts), np.int32))
+                    ),
                 }
 
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id long, ids array<int>", run)
@@ -351,13 +372,16 @@ def decode_ids(rows: DataFrame, model: PieceModel) -> DataFrame:
         encoder = Encoder(model)
         for batch in batches:
             lists = batch.column("ids")
+            if lists.flatten().null_count:
+                raise ValueError("a null is no id of the model")
             sizes = [n or 0 for n in lists.value_lengths().to_pylist()]
             for low, high in _runs(sizes, CHARS):
                 part = lists[low:high]
+                ids = np.split(part.flatten().to_numpy(), np.cumsum(sizes[low:high])[:-1])
                 yield {
                     "doc_id": batch.column("doc_id")[low:high],
                     "ids": part,
-                    "decoded": [encoder.decode(ids or []) for ids in part.to_pylist()],
+                    "decoded": [encoder.decode(one) for one in ids],
                 }
 
     return map_arrow(rows.select("doc_id", "ids"), "doc_id long, ids array<int>, decoded string", run)

@@ -49,16 +49,19 @@ def test_every_prefix_ends_in_its_last_token():
     rng = random.Random(3)
     for _ in range(60):
         text = "▁" + "".join(rng.choice("aeinrst.,▁") for _ in range(24))
-        last = ENCODER.last_tokens(text)
-        for end in range(1, len(text) + 1):
-            assert last[end] == pieces.merged(list(text[:end]), MODEL.scores)[-1]
+        texts = sorted([text, text[:9] + "era", text[:15] + "e.st", "zu"])
+        last = iter(ENCODER.last_tokens(texts))
+        for one in texts:
+            for end in range(1, len(one) + 1):
+                assert ENCODER.token[next(last)] == pieces.merged(list(one[:end]), MODEL.scores)[-1]
+            assert next(last) == pieces._FREE  # the mark, and the entry of nothing at all
 
 
 def test_exactly_one_match_fits():
     rng = random.Random(5)
     for _ in range(60):
         text = "".join(rng.choice("ainsthe") for _ in range(20))
-        last = ENCODER.last_tokens(text)
+        last = ["", *(ENCODER.token[i] for i in ENCODER.last_tokens([text])[:-1])]
         for end in range(1, len(text) + 1):
             fitting = [
                 t for n in range(1, end + 1) if (t := text[end - n : end]) in MODEL.ids and ENCODER.compatible(last[end - n], t)
@@ -100,6 +103,14 @@ def test_documents(spark, monkeypatch):
     assert pieces.decode_ids(pieces.encode_texts(nothing, MODEL), MODEL).collect() == []
 
 
+def test_wrong_ids_are_errors_and_missing_lists_read_as_nothing(spark):
+    for wrong in ([264, -1], [264, MODEL.size]):
+        with pytest.raises((ValueError, IndexError)):
+            ENCODER.decode(wrong)
+    rows = spark.createDataFrame([(1, None), (2, []), (3, [264])], "doc_id long, ids array<int>").coalesce(1)
+    assert [(r.doc_id, r.decoded) for r in pieces.decode_ids(rows, MODEL).collect()] == [(1, ""), (2, ""), (3, "a")]
+
+
 def test_query_over_a_whole_table(spark):
     sf_dir = "/root/testdata/sf0.001"
     found = {tuple(r) for r in pieces.op13_sentencepiece(spark, sf_dir).collect()}
