@@ -1,6 +1,7 @@
 """Aligned tokens against offsets compared one by one."""
 
 import hashlib
+import json
 import random
 from bisect import bisect_left
 from collections import Counter
@@ -10,19 +11,22 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from basketry.llm import alignment
 from basketry.llm.pieces import vocabulary
 from tests.llm.test_operators import DOCS, prose
 
 TOKENIZERS = alignment.Tokenizers.read(vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+LIBRARY = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+LIBRARY.encode_special_tokens = True
 ENDS = st.sets(st.integers(1, 60), max_size=40).map(lambda s: np.array(sorted(s), dtype=np.int64))
 
 
 def brute_groups(text):
     """Groups of (ids of A, ids of B) of one text by sets of offsets."""
     whole = " " + text
-    ids_a = TOKENIZERS.first.encode(whole, add_special_tokens=False).ids
+    ids_a = LIBRARY.encode(whole, add_special_tokens=False).ids
     ids_b = TOKENIZERS.second.encode(text)
     sides = []
     for ids, content in ((ids_a, TOKENIZERS.first_bytes), (ids_b, TOKENIZERS.second_bytes)):
@@ -77,6 +81,21 @@ def test_common_ends_in_pieces_of_any_size(a, b, work):
         assert sum(side == 0 for _, side in merged[: x + y]) == x
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.one_of(st.text(max_size=80), st.text(alphabet="ab's  \n\t1é한\u00a0\u2003\u0301.", max_size=80)))
+def test_both_ways_to_encode_agree(text):
+    text = text.encode(errors="replace").decode()
+    assert TOKENIZERS.first(text) == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_another_vocabulary_file_goes_through_its_library():
+    file = json.loads(Path(vocabulary("byte_bpe_50k.json")).read_text())
+    file["model"]["merges"].reverse()
+    other = alignment.Tokenizers(json.dumps(file), TOKENIZERS.b)
+    library = Tokenizer.from_str(other.a)
+    assert other.first("some text of words") == library.encode("some text of words").ids
+
+
 def test_wide_groups_pair_equal_ids_once():
     a, b = np.array([5] * 40 + [6] * 2 + [7]), np.array([1] * 30 + [2, 3])
     doc, x, y, n = alignment.linked_pairs(a, b, np.array([0, 42, 43]), np.array([0, 31, 32]), np.array([3, 3]))
