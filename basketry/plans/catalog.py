@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from basketry.functions.columns import SEGMENTS
 from basketry.functions.quantiles import exact_quantiles
 from basketry.functions.storage import Scratch
-from basketry.operators import insights, rfm, segments
+from basketry.operators import insights, people, rfm, segments
 from basketry.operators.scoring import SCORES, score_customers
 from basketry.operators.dataset import RetailTables
 from basketry.plans import fixtures, jobs
@@ -281,6 +281,19 @@ def last_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insights.last_families(insights.family_counts(fixtures.retail_tables(spark, sf_dir)))
 
 
+def _bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return people.customer_bitmaps(fixtures.retail_tables(spark, sf_dir), Scratch(spark))
+
+
+def city_customers_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report from unions of customer bitmaps."""
+    return people.city_customers(_bitmaps(spark, sf_dir))
+
+
+def age_gender_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return people.age_gender_bands(_bitmaps(spark, sf_dir))
+
+
 def _on_tables(report: Callable[[insights.Source], DataFrame]) -> Query:
     return lambda spark, sf_dir: report(fixtures.retail_tables(spark, sf_dir))
 
@@ -325,4 +338,6 @@ def queries() -> dict[str, Query]:
         "top_articles": _on_tables(insights.top_articles),
         "city_customers": _on_tables(insights.city_customers),
         "age_gender_bands": _on_tables(insights.age_gender_bands),
+        "city_customers_bitmaps": city_customers_bitmaps,
+        "age_gender_bitmaps": age_gender_bitmaps,
     }

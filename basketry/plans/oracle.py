@@ -410,6 +410,8 @@ _BODIES["train_predictions"] = f"""
     SELECT s.*, l.prediction, l.segmento, l.prediction_label
     FROM scored s JOIN ({_BODIES["segments_kmeans"]}) l ON s.customerid = l.customerid"""
 _BODIES["reports_from_files"] = _BODIES["health_share"]
+_BODIES["city_customers_bitmaps"] = _BODIES["city_customers"]
+_BODIES["age_gender_bitmaps"] = _BODIES["age_gender_bands"]
 
 
 def oracle_sql() -> dict[str, str]:
