@@ -551,3 +551,37 @@ def test_masks_rule_out_no_similar_lines():
     alike = lambda i, j: linededup.jaccard(plain[i], plain[j]) >= linededup.THRESHOLD
     joined = _components(len(lines), lambda i, j: (i, j) in set(links))
     assert joined == _components(len(lines), alike)
+
+
+def test_sketches_keep_similar_lines_together_and_part_others():
+    chance = random.Random(14)
+    lines = []
+    for _ in range(60):
+        line = prose(chance, chance.choice([4, 12, 30]))
+        at = len(line) // 2
+        lines += [line, line[:at] + "7" + line[at + 1 :], line + " x"]
+    found = linededup.signatures([x.encode() for x in lines])
+    short = linededup.sketches(found)
+    sets = [linededup.shingles(x) for x in lines]
+    pairs = [(i, j) for i in range(len(lines)) for j in range(i)]
+    a, b = (np.array(side) for side in zip(*pairs))
+    agree = linededup.agreeing(short[a], short[b])
+    assert agree.tolist() == ((found[a] ^ found[b]) & np.uint64(15) == 0).sum(axis=1).tolist()
+    alike = np.array([linededup.jaccard(sets[i], sets[j]) for i, j in pairs])
+    assert (alike >= linededup.THRESHOLD).sum() > 40
+    assert (agree[alike >= linededup.THRESHOLD] >= linededup.AGREE).all()
+    assert (agree[alike < 0.2] < linededup.AGREE).mean() > 0.99
+    # One cell of all lines, and the same in pairs of blocks, against plain components.
+    nodes = np.arange(len(lines)) + 100
+    label = _components(len(lines), lambda i, j: linededup.agreeing(short[i : i + 1], short[j : j + 1])[0] >= linededup.AGREE)
+    wanted = {tuple(nodes[k] for k in range(len(lines)) if label[k] == own) for own in set(label)}
+    key = np.zeros((len(lines), 4), dtype=np.int64)
+    whole = linededup._alike(np.hstack([key, nodes[:, None], short]))
+    assert {tuple(g["node"]) for _, g in whole.groupby("cell")} == {w for w in wanted if len(w) > 1}
+    cross = key.copy()
+    cross[:, 2] = 1
+    cross[1::2, 3] = 1
+    order = np.argsort(cross[:, 3], kind="stable")
+    parts = linededup._alike(np.hstack([cross, nodes[:, None], short])[order])
+    side = dict(zip(nodes, cross[:, 3]))
+    assert all(len({side[n] for n in g["node"]}) == 2 for _, g in parts.groupby("cell"))
