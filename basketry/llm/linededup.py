@@ -37,6 +37,7 @@ ROWS = 4
 LEAST_CHARS = 10
 BLOCK = 4096
 AGREE = BANDS * ROWS // 2
+WITHIN = 2  # side of the nodes of a block that meets itself
 SKETCH = [f"sketch_{k}" for k in range(-(-BANDS * ROWS // 16))]
 SLICE = 1 << 16  # rows that a task hands over at once, or holds of one band
 CHARS = 1 << 16  # bytes of lines whose signatures are computed at once
@@ -389,7 +390,7 @@ def alike_sets(cells: DataFrame, signed: DataFrame) -> DataFrame:
 
     A part has at most two blocks of nodes.
     """
-    columns = ["cell", "low", "high", "side", "node", *SKETCH]
+    columns = ["key", "side", "node", *SKETCH]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = np.zeros((0, len(columns)), dtype=np.int64)
@@ -397,14 +398,15 @@ def alike_sets(cells: DataFrame, signed: DataFrame) -> DataFrame:
             held = np.concatenate([held, frame[columns].to_numpy(np.int64)])
             if not len(held):
                 continue
-            cut = int(np.flatnonzero((held[:, :3] == held[-1, :3]).all(axis=1))[0])  # the open one
+            cut = int(np.searchsorted(held[:, 0], held[-1, 0]))  # start of the open one
             yield _alike(held[:cut])
             held = held[cut:]
         yield _alike(held)
 
     own = signed.groupBy("node").agg(*[F.min(c).alias(c) for c in SKETCH])
-    key = ["cell", "low", "high"]
-    dealt = blocks_of(cells).join(own, "node").repartition(*key).sortWithinPartitions(*key)
+    side = F.when(F.col("low") == F.col("high"), WITHIN).otherwise(F.col("side")).cast("long")
+    pairs = blocks_of(cells).select(F.xxhash64("cell", "low", "high").alias("key"), side.alias("side"), "node")
+    dealt = pairs.join(own, "node").repartition("key").sortWithinPartitions("key")
     return dealt.mapInPandas(run, "cell long, node long").distinct()
 
 
@@ -414,21 +416,33 @@ def _alike(rows: np.ndarray) -> pd.DataFrame:
     Each row meets the one ``step`` rows after it, for every step, unless both are connected."""
     label = np.arange(len(rows))
     if len(rows):
-        fresh = np.append(True, (rows[1:, :3] != rows[:-1, :3]).any(axis=1))
+        fresh = np.append(True, rows[1:, 0] != rows[:-1, 0])
         ends = np.append(np.flatnonzero(fresh)[1:], len(rows))
         after = ends[np.cumsum(fresh) - 1] - label.copy() - 1
-        within, side, sketch = rows[:, 1] == rows[:, 2], rows[:, 3], np.ascontiguousarray(rows[:, 5:])
+        side, sketch = rows[:, 1], np.ascontiguousarray(rows[:, 3:])
         step, open_ = 1, np.flatnonzero(after > 0)
         while len(open_):
             a, b = open_, open_ + step
             # Pairs inside one block are compared where the block meets itself.
-            use = (label[a] != label[b]) & (within[a] | (side[a] != side[b]))
+            use = (label[a] != label[b]) & ((side[a] == WITHIN) | (side[a] != side[b]))
             a, b = a[use], b[use]
             near = agreeing(sketch[a], sketch[b]) >= AGREE
             _unite(label, a[near], b[near])
             step += 1
             open_ = open_[after[open_] >= step]
-    return _sets(label, rows[:, 4], None)
+    return _sets(label, rows[:, 2], None)
+
+
+def without_subsets(sets: DataFrame) -> DataFrame:
+    """``sets`` less those that lie wholly in another, so that fewer texts travel.
+
+    Found are those whose nodes all have one set as the largest they are in; others stay."""
+    sizes = sets.groupBy("cell").agg(F.count("*").alias("n"))
+    rows = sets.join(sizes, "cell")
+    largest = rows.groupBy("node").agg(F.max(F.struct("n", "cell"))["cell"].alias("largest"))
+    whole = rows.join(largest, "node").groupBy("cell").agg(F.min("largest").alias("a"), F.max("largest").alias("b"))
+    inside = whole.where("a = b and a <> cell").select("cell")
+    return sets.join(inside, "cell", "left_anti")
 
 
 def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -491,6 +505,7 @@ def removed_lines(docs: DataFrame, scratch: Scratch, threshold: float = THRESHOL
         signed = scratch.table(signed_nodes(docs), "signed")
         cells = scratch.table(candidate_sets(banded(signed)), "cells")
         alike = scratch.table(alike_sets(cells, signed), "alike")
+        alike = scratch.table(without_subsets(alike), "largest")
         nodes = scratch.table(alike.select("node").distinct(), "nodes")
         forms = forms_of(docs).join(broadcast_within(nodes), "node", "left_semi")
         links = scratch.table(verified_links(alike, forms, threshold), "links")

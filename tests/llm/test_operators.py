@@ -575,13 +575,25 @@ def test_sketches_keep_similar_lines_together_and_part_others():
     nodes = np.arange(len(lines)) + 100
     label = _components(len(lines), lambda i, j: linededup.agreeing(short[i : i + 1], short[j : j + 1])[0] >= linededup.AGREE)
     wanted = {tuple(nodes[k] for k in range(len(lines)) if label[k] == own) for own in set(label)}
-    key = np.zeros((len(lines), 4), dtype=np.int64)
+    key = np.zeros((len(lines), 2), dtype=np.int64)
+    key[:, 1] = linededup.WITHIN
     whole = linededup._alike(np.hstack([key, nodes[:, None], short]))
     assert {tuple(g["node"]) for _, g in whole.groupby("cell")} == {w for w in wanted if len(w) > 1}
-    cross = key.copy()
-    cross[:, 2] = 1
-    cross[1::2, 3] = 1
-    order = np.argsort(cross[:, 3], kind="stable")
+    cross = np.zeros_like(key)
+    cross[1::2, 1] = 1
+    order = np.argsort(cross[:, 1], kind="stable")
     parts = linededup._alike(np.hstack([cross, nodes[:, None], short])[order])
-    side = dict(zip(nodes, cross[:, 3]))
+    side = dict(zip(nodes, cross[:, 1]))
     assert all(len({side[n] for n in g["node"]}) == 2 for _, g in parts.groupby("cell"))
+
+
+def test_only_sets_inside_another_are_left_out(spark):
+    chance = random.Random(15)
+    sets = {tuple(sorted(chance.sample(range(30), chance.choice([2, 2, 3, 5, 8])))) for _ in range(80)} | {(0, 1), (0, 1, 2)}
+    made = [(k, node) for k, own in enumerate(sorted(sets)) for node in own]
+    left = linededup.without_subsets(spark.createDataFrame(made, "cell long, node long")).collect()
+    found = {}
+    for cell, node in left:
+        found.setdefault(cell, set()).add(node)
+    assert all(found[cell] == set(sorted(sets)[cell]) for cell in found) and len(found) < len(sets)
+    assert all(any(set(own) <= other for other in found.values()) for own in sets)
