@@ -6,7 +6,7 @@ a band are candidates, and a candidate link counts only if the exact Jaccard sim
 the shingle sets reaches the threshold. Distributed union-find joins the links, and of
 each component only the first line of the first document stays.
 
-Signatures are computed once and written. Bands travel as two numbers a row, without text.
+Lines are read and signatures computed in one pass and written. Bands travel as two numbers a row, without text.
 Only bands that two nodes or more share go on, once for each set of nodes. A set of more than
 ``BLOCK`` nodes is cut into blocks and every pair of blocks meets in a task of its own: nothing
 is skipped, no task holds more than two blocks, and tasks report spanning forests, not pairs.
@@ -50,8 +50,13 @@ _FOLD = bytes(
 # The same, but keeps line breaks.
 _FOLD_LINES = _FOLD[:10] + b"\n" + _FOLD[11:]
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
-# Bins that an empty bin asks in turn.
-_PROBES = np.random.default_rng(11).integers(0, BANDS * ROWS, size=(64, BANDS * ROWS))
+# Bins that an empty bin asks in turn: some at random, then every other one.
+_PROBES = np.concatenate(
+    [
+        np.random.default_rng(11).integers(0, BANDS * ROWS, size=(64, BANDS * ROWS)),
+        (np.arange(BANDS * ROWS) + np.arange(1, BANDS * ROWS)[:, None]) % (BANDS * ROWS),
+    ]
+)
 _NONE = np.iinfo(np.uint64).max
 # Odd factors that join two windows of one width to one of twice the width.
 _FACTORS = {
@@ -91,7 +96,9 @@ def _window_hashes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.fromiter(map(len, lines), np.int64, len(lines))
     else:
         points = np.frombuffer(whole.decode().encode("utf-32-le"), "<u4").astype(np.uint64)
-        sizes = np.fromiter((len(line.decode()) for line in lines), np.int64, len(lines))
+        leading = (np.frombuffer(whole, np.uint8) & 0xC0) != 0x80  # bytes that begin a character
+        starts = np.cumsum([0, *map(len, lines[:-1])])
+        sizes = np.add.reduceat(leading, starts, dtype=np.int64)
     width = 1
     while width < SHINGLE:  # windows of 1, 2, 4, 5 characters from two that touch or overlap
         step = min(width, SHINGLE - width)
@@ -118,7 +125,7 @@ def _signatures(forms: list[bytes]) -> np.ndarray:
     own = own.reshape(-1, bins)
     least = own.copy()
     rows, empty = np.nonzero(own == _NONE)
-    for probe in [*_PROBES, *((np.arange(bins) + k) % bins for k in range(1, bins))]:
+    for probe in _PROBES:
         if not len(rows):
             break
         found = own[rows, probe[empty]]
@@ -273,39 +280,47 @@ def row_key() -> Column:
     return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit("")))
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """``row_key``, ``doc_id``, ``line_no``, ``node`` of every line that is not blank."""
+def signed_lines(docs: DataFrame) -> DataFrame:
+    """``row_key``, ``doc_id``, ``line_no``, ``node`` of every line that is not blank; bands and
+    sketch of its node too where it is the first of a batch with a compared node, else null."""
+    names = [f"band_{k}" for k in range(BANDS)] + SKETCH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             keys, ids = batch.column("row_key").to_pylist(), batch.column("doc_id").to_pylist()
-            found = [
-                (keys[i], ids[i], number, node_of(form))
-                for i, text in enumerate(texts_of(batch))
-                for number, form in _lines(text)
-            ]
-            for low in range(0, len(found), SLICE):
-                names = ("row_key", "doc_id", "line_no", "node")
-                yield dict(zip(names, zip(*found[low : low + SLICE])))
+            rows: list[tuple] = []
+            numbers: dict[bytes, int] = {}
+            forms: list[bytes] = []
+            signed: list[int] = []  # where a row carries the signature of the form
+            for i, text in enumerate(texts_of(batch)):
+                for number, form in _lines(text):
+                    node = numbers.get(form)
+                    if node is None:
+                        node = numbers[form] = node_of(form)
+                        if long_enough(form):
+                            signed.append(len(rows))
+                            forms.append(form)
+                    rows.append((keys[i], ids[i], number, node))
+            places = np.array(signed, dtype=np.int64)
+            for low in range(0, len(rows), SLICE // BANDS):
+                part = rows[low : low + SLICE // BANDS]
+                first, last = np.searchsorted(places, [low, low + len(part)])
+                found = signatures(forms[first:last])
+                values = np.zeros((len(names), len(part)), dtype=np.int64)
+                values[:, places[first:last] - low] = np.hstack([bands(found), sketches(found)]).T
+                empty = np.ones(len(part), dtype=bool)
+                empty[places[first:last] - low] = False
+                own = dict(zip(("row_key", "doc_id", "line_no", "node"), zip(*part)))
+                yield own | {c: pa.array(v, mask=empty) for c, v in zip(names, values)}
 
     rows = docs.select("doc_id", "text", row_key().alias("row_key"))
-    return map_arrow(rows, "row_key long, doc_id long, line_no int, node long", run)
-
-
-def signed_nodes(docs: DataFrame) -> DataFrame:
-    """``node``, its bands and its sketch, of every compared node, once for each batch that has it."""
-    names = [f"band_{k}" for k in range(BANDS)] + SKETCH
+    schema = ["row_key long", "doc_id long", "line_no int", *[f"{c} long" for c in ["node", *names]]]
+    return map_arrow(rows, ", ".join(schema), run)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
-            forms = _compared(texts_of(batch))
-            for low in range(0, len(forms), SLICE // BANDS):
-                part = forms[low : low + SLICE // BANDS]
-                found = signatures(part)
-                numbers = np.ascontiguousarray(np.hstack([bands(found), sketches(found)]).T)
-                yield {"node": [node_of(x) for x in part], **dict(zip(names, numbers))}
 
-    return map_arrow(docs.select("text"), ", ".join(f"{c} long" for c in ["node", *names]), run)
+def signed_nodes(lines: DataFrame) -> DataFrame:
+    """``node``, its bands and its sketch: the rows of :func:`signed_lines` that carry them."""
+    return lines.where("band_0 IS NOT NULL").drop("row_key", "doc_id", "line_no")
 
 
 def banded(signed: DataFrame) -> DataFrame:
@@ -502,7 +517,8 @@ def removed_lines(docs: DataFrame, scratch: Scratch, threshold: float = THRESHOL
     Of a component the line of the smallest (doc_id, row, line number) stays.
     """
     with transient_shuffles(docs.sparkSession):
-        signed = scratch.table(signed_nodes(docs), "signed")
+        read = scratch.table(signed_lines(docs), "signed")
+        signed = signed_nodes(read)
         cells = scratch.table(candidate_sets(banded(signed)), "cells")
         alike = scratch.table(alike_sets(cells, signed), "alike")
         alike = scratch.table(without_subsets(alike), "largest")
@@ -510,7 +526,7 @@ def removed_lines(docs: DataFrame, scratch: Scratch, threshold: float = THRESHOL
         forms = forms_of(docs).join(broadcast_within(nodes), "node", "left_semi")
         links = scratch.table(verified_links(alike, forms, threshold), "links")
     members = connected_components(links, scratch)
-    lines = occurrences(docs).join(broadcast_within(members), "node", "left").select(
+    lines = read.join(broadcast_within(members), "node", "left").select(
         "row_key", "doc_id", "line_no", F.coalesce("component", "node").alias("component")
     )
     lines = scratch.table(lines, "lines")

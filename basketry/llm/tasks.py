@@ -43,8 +43,10 @@ def map_arrow(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in function(batches):
+            given = [columns[f.name] for f in kind]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[f.name], type=f.type) for f in kind], schema=kind
+                [x.cast(f.type) if isinstance(x, pa.Array) else pa.array(x, type=f.type) for x, f in zip(given, kind)],
+                schema=kind,
             )
 
     return df.mapInArrow(run, schema)
