@@ -20,7 +20,8 @@ from basketry.functions.sizing import broadcast_within
 from basketry.functions.storage import Scratch
 from basketry.llm.tasks import table
 
-SETTLED = 1000  # millionths by which a group's log-determinant still has to fall, on average
+SETTLED = 1000  # millionths by which a group's log-determinant has to fall to go on
+ALL = '["all",null,null]'  # name of the group of all documents
 UNIT = 1024  # fixed point of the transformed statistics
 _BLANK = r"[\x20\x09-\x0D]+"
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -29,10 +30,11 @@ _INDEX_BITS = 30  # a text of 2^31 bytes has fewer words
 
 @dataclass(frozen=True)
 class Rules:
-    """``support``: share of a group in the estimate; ``least_rows``: smaller groups join
-    those of their language, then each other; ``floors``: added standard deviations of the
+    """``support``: share of a group in the estimate; ``least_rows``: smaller groups are
+    judged by those of their language, then by all; ``floors``: added standard deviations of the
     statistics, so that a usual constant rejects no small departure; ``limit``: largest
-    accepted distance, in robust standard deviations; ``steps``: concentration steps at most."""
+    accepted distance, in robust standard deviations; ``steps``: concentration steps at most,
+    a guard that no table has come near."""
 
     least_words: int = 50
     most_repeat_pct: int = 50
@@ -40,7 +42,7 @@ class Rules:
     least_rows: int = 100
     floors: tuple[float, ...] = (0.03, 0.03, 0.1, 0.1, 0.03, 0.06)
     limit: float = 6.0
-    steps: int = 20
+    steps: int = 100
 
 
 def _bind(value: Column, use) -> Column:
@@ -158,21 +160,40 @@ def with_vector(docs: DataFrame) -> DataFrame:
 
 
 def group_names(vectors: DataFrame, rules: Rules) -> DataFrame:
-    """``lang``, ``source`` and the number ``grp`` of the group that judges them.
+    """``lang``, ``source``, the name ``grp`` of the group that judges the pair, and ``feeds``,
+    the groups of the language in which its documents count.
 
-    The group is the pair, or the language for pairs of fewer than ``least_rows``, or all
-    such languages together. A last group that is still too small has no estimate.
+    A pair of fewer than ``least_rows`` is judged with the other such pairs of its language;
+    where these are too few, by all documents of the language; where these are too few, by
+    all documents (``ALL``). Only groups that judge some pair are listed.
     """
     sizes = vectors.groupBy("lang", "source").agg(F.count("*").alias("n"))
-    spare = F.when(F.col("n") < rules.least_rows, F.col("n")).otherwise(0)
-    pool = F.sum(spare).over(Window.partitionBy("lang"))
+    own = Window.partitionBy("lang")
     none = F.lit(None).cast("string")
-    named = (
-        F.when(F.col("n") >= rules.least_rows, F.array(F.lit("pair"), "lang", "source"))
-        .when(F.col("pool") >= rules.least_rows, F.array(F.lit("language"), "lang", none))
-        .otherwise(F.array(F.lit("rest"), none, none))
+    sizes = sizes.withColumns(
+        {
+            "pool": F.sum(F.when(F.col("n") < rules.least_rows, F.col("n")).otherwise(0)).over(own),
+            "whole": F.sum("n").over(own),
+        }
+    )
+    level = (
+        F.when(F.col("n") >= rules.least_rows, "pair")
+        .when(F.col("pool") >= rules.least_rows, "small pairs")
+        .when(F.col("whole") >= rules.least_rows, "language")
+        .otherwise("all")
     )
-    return sizes.withColumn("pool", pool).select("lang", "source", F.to_json(named).alias("grp"))
+    named = sizes.withColumn("level", level)
+    names = {
+        "pair": F.to_json(F.array(F.lit("pair"), "lang", "source")),
+        "small pairs": F.to_json(F.array(F.lit("small pairs"), "lang", none)),
+        "language": F.to_json(F.array(F.lit("language"), "lang", none)),
+        "all": F.lit(ALL),
+    }
+    judges = F.coalesce(*[F.when(F.col("level") == k, v) for k, v in names.items()])
+    named = named.withColumn("grp", judges)
+    language = F.max(F.col("level") == "language").over(own)
+    feeds = F.array("grp", F.when(language, names["language"]))
+    return named.select("lang", "source", "grp", F.array_distinct(F.filter(feeds, F.isnotnull)).alias("feeds"))
 
 
 def _matched(docs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -228,7 +249,7 @@ def concentrate(vectors: DataFrame, factors: DataFrame, rules: Rules) -> DataFra
     to the wanted count are summed: no group is sorted or gathered. All rows of the last
     level count, so ties are treated alike.
     """
-    near = with_distance(vectors.join(broadcast_within(factors), "grp")).withColumn("level", _level(F.col("d2")))
+    near = with_distance(vectors.join(factors, "grp")).withColumn("level", _level(F.col("d2")))
     levels = near.groupBy("grp", "level").agg(
         F.count("*").alias("n"),
         *[F.sum(x).alias(f"t{i}") for i, x in enumerate(_X)],
@@ -248,11 +269,15 @@ def concentrate(vectors: DataFrame, factors: DataFrame, rules: Rules) -> DataFra
         *[F.sum(f"t{i}").alias(f"t{i}") for i in range(SIZE)],
         *[F.sum(f"t{i}_{j}").alias(f"t{i}_{j}") for i, j in _LOWER],
     )
-    return _cholesky(sums, rules.floors)
+    return _cholesky(sums, rules)
 
 
-def _cholesky(sums: DataFrame, floors: tuple[float, ...]) -> DataFrame:
-    """Means ``m`` and lower factor ``l`` of the covariance plus the floors on its diagonal."""
+def _cholesky(sums: DataFrame, rules: Rules) -> DataFrame:
+    """Means ``m`` and lower factor ``l`` of the covariance plus the floors on its diagonal.
+
+    A group of n rows, fewer than ``least_rows``, has floors greater by the root of
+    ``least_rows / n``: few rows say little about how far others lie apart."""
+    few = F.greatest(F.lit(1.0), F.lit(float(rules.least_rows)) / F.col("all_rows"))
     found = sums.withColumns({f"m{i}": F.col(f"t{i}") / F.col("n") for i in range(SIZE)})
     for j in range(SIZE):
         for i in range(j, SIZE):
@@ -260,7 +285,7 @@ def _cholesky(sums: DataFrame, floors: tuple[float, ...]) -> DataFrame:
             for k in range(j):
                 value = value - F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}")
             if i == j:
-                value = F.sqrt(F.greatest(value, F.lit(0.0)) + F.lit((floors[i] * UNIT) ** 2))
+                value = F.sqrt(F.greatest(value, F.lit(0.0)) + F.lit((rules.floors[i] * UNIT) ** 2) * few)
             else:
                 value = value / F.col(f"l{j}_{j}")
             found = found.withColumn(f"l{i}_{j}", value)
@@ -273,28 +298,40 @@ def estimates(statistics: DataFrame, rules: Rules, scratch: Scratch) -> DataFram
     """Per ``lang`` and ``source``: centre, factor and scale of its group's estimate.
 
     Only documents that pass the base rules take part. Every step reads the narrow written
-    vectors and writes one row per group; the driver sees one checksum a step.
+    vectors and writes one row per group; the driver sees whether any group goes on. A group
+    ends at its own first step that lowers its log-determinant by less than ``SETTLED``, so
+    its estimate does not depend on other groups.
     """
     passed = with_vector(statistics.where("NOT base_failed")).select("lang", "source", *_X)
     groups = scratch.table(group_names(passed, rules), "groups")
-    vectors = scratch.table(_matched(passed, groups).select("grp", *_X), "vectors")
+    feeds = F.col("feeds")
+    if not groups.where(F.col("grp") == ALL).isEmpty():
+        feeds = F.array_union(feeds, F.array(F.lit(ALL)))
+    counted = _matched(passed, groups).select(F.explode(feeds).alias("grp"), *_X)
+    vectors = scratch.table(counted, "vectors")
     factors = _as_factor(scratch.table(_start(vectors), "start"), rules.floors)
-    best = None
+    factors = factors.withColumn("logs", F.lit(None).cast("long"))
+    # In whole millionths, so that equal determinants are equal numbers.
+    logs = reduce(lambda a, b: a + b, [F.round(F.ln(f"l{i}_{i}") * 1_000_000).cast("long") for i in range(SIZE)])
+    ended = []
     for step in range(rules.steps):
-        factors = scratch.table(concentrate(vectors, factors, rules), f"step-{step}")
-        # A step lowers the determinants; in whole millionths, so the sum is exact.
-        logs = [F.round(F.ln(f"l{i}_{i}") * 1_000_000).cast("long") for i in range(SIZE)]
-        now = factors.agg(F.sum(reduce(lambda a, b: a + b, logs)), F.count("*")).first()
-        if best is not None and now[0] is not None and now[0] > best - SETTLED * now[1]:
-            break
-        best = now[0]
-        if best is None:
+        factors = broadcast_within(factors)
+        before = factors.select("grp", F.col("logs").alias("before"))
+        stepped = concentrate(vectors, factors.drop("logs"), rules).withColumn("logs", logs).join(before, "grp")
+        settled = F.coalesce(F.col("logs") > F.col("before") - SETTLED, F.lit(False))
+        found = scratch.table(stepped.withColumn("settled", settled).drop("before"), f"step-{step}")
+        ended.append(found.where("settled").drop("settled", "logs"))
+        factors = found.where("NOT settled").drop("settled")
+        if factors.isEmpty():
             break
+    else:
+        ended.append(factors.drop("logs"))
+    factors = scratch.table(reduce(DataFrame.unionByName, ended), "settled")
     judged = with_distance(vectors.join(broadcast_within(factors), "grp"))
     # The middle of all distances is that of a chi-square with SIZE degrees of freedom.
     scale = judged.groupBy("grp").agg(F.percentile(_level(F.col("d2")), F.lit(0.5)).alias("middle"))
     scaled = scratch.table(
-        factors.join(scale, "grp").where(F.col("all_rows") >= rules.least_rows).select(
+        factors.join(scale, "grp").select(
             "grp",
             *[f"m{i}" for i in range(SIZE)],
             *[f"l{i}_{j}" for i, j in _LOWER],
@@ -302,7 +339,8 @@ def estimates(statistics: DataFrame, rules: Rules, scratch: Scratch) -> DataFram
         ),
         "scaled",
     )
-    return scratch.table(groups.join(broadcast_within(scaled), "grp", "left"), "estimates")
+    named = groups.drop("feeds").join(broadcast_within(scaled), "grp", "left")
+    return scratch.table(named, "estimates")
 
 
 def _chi_middle(k: int) -> float:
@@ -313,7 +351,8 @@ def _chi_middle(k: int) -> float:
 def judge(statistics: DataFrame, found: DataFrame, rules: Rules) -> DataFrame:
     """``statistics`` with ``distance`` and ``kept``.
 
-    A group without an estimate, and a pair that has none, keeps what passes the base rules.
+    Every pair with a document that passes the base rules has an estimate; ``distance`` is
+    null only for documents of other pairs, which all fail these rules.
     """
     near = with_distance(_matched(with_vector(statistics), found))
     distance = F.sqrt(F.col("d2") / F.col("scale"))
