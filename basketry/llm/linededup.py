@@ -37,6 +37,8 @@ ROWS = 4
 LEAST_CHARS = 10
 BLOCK = 4096
 AGREE = BANDS * ROWS // 2
+FEW = 64  # nodes of a set that is compared together with others
+WINDOW_BITS = 40  # five characters of a byte each
 WITHIN = 2  # side of the nodes of a block that meets itself
 SKETCH = [f"sketch_{k}" for k in range(-(-BANDS * ROWS // 16))]
 SLICE = 1 << 16  # rows that a task hands over at once, or holds of one band
@@ -483,32 +485,111 @@ def forms_of(docs: DataFrame) -> DataFrame:
     return map_arrow(docs.select("text"), "node long, form string", run)
 
 
+def shingle_table(forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`shingles` of all the forms, each below the number of its form, ascending; and
+    where those of each form begin. Different shingles are different numbers."""
+    lines = [form.ljust(SHINGLE, "\0") for form in forms]
+    owner = np.repeat(np.arange(len(lines), dtype=np.uint64), [len(line) for line in lines])
+    points = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4").astype(np.uint64)
+    if not len(points):
+        return points, np.zeros(1, dtype=np.int64)
+    windows = points[: len(points) - SHINGLE + 1]
+    for k in range(1, SHINGLE):
+        following = points[k : len(points) - SHINGLE + 1 + k]
+        if points.max() < 256:
+            windows = windows << np.uint64(8) | following
+        else:  # windows so far numbered by their order, so that 32 bits hold them
+            windows = np.unique(windows << np.uint64(32) | following, return_inverse=True)[1].astype(np.uint64)
+    whole = owner[: len(windows)] == owner[SHINGLE - 1 :]
+    found = np.sort((owner[: len(windows)] << np.uint64(WINDOW_BITS) | windows)[whole])
+    found = found[np.append(True, found[1:] != found[:-1])]
+    heads = np.arange(len(lines) + 1, dtype=np.uint64) << np.uint64(WINDOW_BITS)
+    return found, np.searchsorted(found, heads)
+
+
+def similarities(found: np.ndarray, starts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Jaccard similarities of the forms ``a`` with the forms ``b`` of a shingle table."""
+    sizes = np.diff(starts)
+
+    def taken(which: np.ndarray) -> np.ndarray:
+        n = sizes[which]
+        pair = np.repeat(np.arange(len(which), dtype=np.uint64), n)
+        place = np.arange(n.sum()) + np.repeat(starts[which] - (np.cumsum(n) - n), n)
+        return pair << np.uint64(WINDOW_BITS) | found[place] & np.uint64((1 << WINDOW_BITS) - 1)
+
+    both = np.sort(np.concatenate([taken(a), taken(b)]), kind="stable")  # merges two ascending runs
+    same = both[1:][both[1:] == both[:-1]] >> np.uint64(WINDOW_BITS)
+    common = np.bincount(same.astype(np.int64), minlength=len(a))
+    return common / (sizes[a] + sizes[b] - common)
+
+
+def small_forests(cells: np.ndarray, forms: list[str], threshold: float) -> list[tuple[int, int]]:
+    """Links (index, index) that connect the similar forms of each cell; cells stand together.
+
+    Each form meets the one ``step`` rows after it, for every step, unless both are connected
+    or their sizes rule the threshold out."""
+    found, starts = shingle_table(forms)
+    sizes = np.diff(starts)
+    label = np.arange(len(forms))
+    ends = np.searchsorted(cells, cells, side="right")
+    after = ends - label - 1
+    links: list[tuple[int, int]] = []
+    step, open_ = 1, np.flatnonzero(after > 0)
+    while len(open_):
+        a, b = open_, open_ + step
+        fit = np.minimum(sizes[a], sizes[b]) >= threshold * np.maximum(sizes[a], sizes[b])
+        use = fit & (label[a] != label[b])
+        a, b = a[use], b[use]
+        near = similarities(found, starts, a, b) >= threshold
+        links += zip(b[near].tolist(), a[near].tolist())
+        _unite(label, a[near], b[near])
+        step += 1
+        open_ = open_[after[open_] >= step]
+    return links
+
+
 def verified_links(cells: DataFrame, forms: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``src``, ``dst`` that connect the nodes of each cell with similarity enough."""
+    """``src``, ``dst`` that connect the nodes of each cell with similarity enough.
+
+    Cells of up to ``FEW`` nodes are compared many at a time, larger ones alone."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, held = None, []
+        held = pd.DataFrame({"cell": np.zeros(0, np.int64), "node": np.zeros(0, np.int64), "form": np.zeros(0, object)})
         for frame in frames:
-            links: list[tuple[int, int]] = []
-            for cell, node, form in zip(*[frame[c].tolist() for c in ("cell", "node", "form")]):
-                if cell != key:
-                    links += _links(held, threshold)
-                    key, held = cell, []
-                held.append((node, form))
-            yield pd.DataFrame(links, columns=["src", "dst"])
-        yield pd.DataFrame(_links(held, threshold), columns=["src", "dst"])
+            held = pd.concat([held, frame[["cell", "node", "form"]]], ignore_index=True)
+            if not len(held):
+                continue
+            keys = held["cell"].to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1]))  # start of the open one
+            yield _links(held.iloc[:cut], threshold)
+            held = held.iloc[cut:]
+        yield _links(held, threshold)
 
     texts = cells.join(forms.dropDuplicates(["node"]), "node")
     dealt = texts.repartition("cell").sortWithinPartitions("cell", "node")
     return dealt.mapInPandas(run, "src long, dst long")
 
 
-def _links(rows: list[tuple[int, str]], threshold: float) -> list[tuple[int, int]]:
-    """Links between nodes of one cell, given as (node, form)."""
-    if len(rows) < 2:
-        return []
-    sets = shingle_sets([form for _, form in rows])
-    return [(rows[i][0], rows[j][0]) for i, j in similar_forest(sets, 1, threshold)]
+def _links(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Links between nodes of whole cells, in order of the cells."""
+    cells, nodes, forms = rows["cell"].to_numpy(), rows["node"].to_numpy(), rows["form"].tolist()
+    starts = np.flatnonzero(np.append(True, cells[1:] != cells[:-1])) if len(cells) else np.zeros(0, int)
+    links: list[tuple[int, int]] = []
+    some: list[int] = []  # rows of small cells that wait for others
+    chars = 0
+    for low, high in zip(starts.tolist(), [*starts[1:].tolist(), len(cells)]):
+        if high - low > FEW:
+            sets = shingle_sets(forms[low:high])
+            links += [(low + i, low + j) for i, j in similar_forest(sets, 1, threshold)]
+        elif high - low > 1:
+            some += range(low, high)
+            chars += sum(map(len, forms[low:high]))
+        if some and (chars > CHARS or high == len(cells)):
+            found = small_forests(cells[some], [forms[i] for i in some], threshold)
+            links += [(some[i], some[j]) for i, j in found]
+            some, chars = [], 0
+    ends = np.array(links, dtype=np.int64).reshape(-1, 2)
+    return pd.DataFrame({"src": nodes[ends[:, 0]], "dst": nodes[ends[:, 1]]})
 
 
 def removed_lines(docs: DataFrame, scratch: Scratch, threshold: float = THRESHOLD) -> DataFrame:

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -384,6 +385,65 @@ def test_quality_rejects_outliers(spark):
     assert rows(estimate) == rows(quality.quality_rules(frame.repartition(5)))
 
 
+def test_quality_of_small_sources(spark):
+    """Tails of 40 and 5 rows, and a language of 3, are judged like others; verdicts equal numpy's."""
+    rng = random.Random(21)
+
+    def odd():
+        return prose(rng, 200).replace(" ", "#$ ")
+
+    made = [(i, prose(rng, rng.randint(60, 400)), "en", "big") for i in range(130)]
+    made += [(200 + i, prose(rng, rng.randint(60, 400)), "en", "tail") for i in range(40)]
+    made += [(300 + i, prose(rng, rng.randint(60, 400)), "en", None) for i in range(5)]
+    made += [(400 + i, prose(rng, rng.randint(60, 400)), None, "big") for i in range(3)]
+    made += [(900, odd(), "en", "tail"), (901, odd(), "en", None), (902, odd(), None, "big"), (903, odd(), "en", "big")]
+    made += [(950, "few words", "de", "big"), (951, None, None, None)]
+    frame = spark.createDataFrame(made, "doc_id long, text string, lang string, source string")
+    found = quality.quality_rules(frame).collect()
+    assert {r.doc_id for r in found if not r.kept} == {900, 901, 902, 903, 950, 951}
+    assert {r.doc_id for r in found if r.distance is None} == {950, 951}
+    rules = quality.Rules()
+    measured = quality._measured(frame, rules, F.col("doc_id")).where("NOT base_failed")
+    vectors = {r.doc_id: r for r in quality.with_vector(measured).collect()}
+    x = {k: np.array([r[c] for c in quality._X], dtype=float) for k, r in vectors.items()}
+    big = [k for k, r in vectors.items() if (r.lang, r.source) == ("en", "big")]
+    english = [k for k, r in vectors.items() if r.lang == "en"]
+    groups = {(r.lang, r.source): list(x) for r in vectors.values()}
+    groups |= {("en", "big"): big, ("en", "tail"): english, ("en", None): english}
+    wanted = {}
+    for pair, members in groups.items():
+        distance = plain_mcd(np.array([x[k] for k in members]), rules)
+        wanted |= {k: distance(x[k]) for k, r in vectors.items() if (r.lang, r.source) == pair}
+    got = {r.doc_id: r.distance for r in found if r.distance is not None}
+    assert got.keys() == wanted.keys()
+    assert all(abs(got[k] - wanted[k]) < 1e-3 * (1 + wanted[k]) for k in got)
+
+
+def plain_mcd(rows, rules):
+    """Distance from the estimate of :func:`quality.estimates`, by matrices."""
+    floors = np.array(rules.floors) * quality.UNIT
+    few = max(1.0, rules.least_rows / len(rows))
+    centre = np.median(rows, axis=0)
+    spread = np.maximum(np.median(abs(rows - centre), axis=0) * 1.4826, floors)
+    cov, before = np.diag(spread**2), None
+
+    def squared(at):
+        return np.einsum("ij,jk,ik->i", at - centre, np.linalg.inv(cov), at - centre)
+
+    while True:
+        level = np.floor(np.log(1 + squared(rows)) * 256)
+        near = rows[level <= np.sort(level)[int(np.ceil(len(rows) * rules.support)) - 1]]
+        centre = near.mean(axis=0)
+        cov = np.cov(near.T, bias=True) + np.diag(floors**2 * few)
+        now = np.linalg.slogdet(cov)[1] / 2 * 1e6
+        if before is not None and now > before - quality.SETTLED:
+            break
+        before = now
+    middle = np.median(np.floor(np.log(1 + squared(rows)) * 256))
+    scale = max((np.exp((middle + 0.5) / 256) - 1) / quality._chi_middle(quality.SIZE), 1.0)
+    return lambda at: float(np.sqrt(squared(at[None])[0] / scale))
+
+
 def test_mixing(docs, empty):
     found = mixing.mix_sources(docs, {"s0": 1.0, "s1": 3.0}, target=4000)
     counts = {r.source: r["count"] for r in found.groupBy("source").count().collect()}
@@ -539,6 +599,32 @@ def test_line_dedup_finds_one_edit_in_short_lines(spark):
     assert gone == set(range(1, len(made), 2))
 
 
+def test_small_sets_compared_together_give_the_components_of_single_ones():
+    rng = random.Random(6)
+    cells, forms = [], []
+    for cell in range(300):
+        letters = rng.choice(["abcdefgh "] * 5 + ["äöü abc", "日本語テキスト a", "😀😁 ab"])
+        base = "".join(rng.choice(letters) for _ in range(rng.choice([1, 3, 12, 60, 200])))
+        for _ in range(70 if cell == 7 else rng.choice([1, 2, 3, 6])):
+            line = list(base)
+            for _ in range(rng.choice([0, 1, 2, 5])):
+                line[rng.randrange(len(line))] = rng.choice(letters)
+            cells.append(cell)
+            forms.append("".join(line))
+    table = linededup.shingle_table(forms)
+    assert np.diff(table[1]).tolist() == [len(linededup.shingles(f)) for f in forms]
+    frame = pd.DataFrame({"cell": cells, "node": range(len(forms)), "form": forms})
+    links = set(map(tuple, linededup._links(frame, 0.8).to_numpy().tolist()))
+    sets = [linededup.shingles(f) for f in forms]
+
+    def alike(i, j):
+        return cells[i] == cells[j] and linededup.jaccard(sets[i], sets[j]) >= 0.8
+
+    assert all(alike(i, j) for i, j in links)
+    found = _components(len(forms), lambda i, j: (i, j) in links or (j, i) in links)
+    assert found == _components(len(forms), alike)
+
+
 def test_masks_rule_out_no_similar_lines():
     chance = random.Random(13)
     lines = []
