@@ -8,6 +8,7 @@ such values beforehand.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.ml.feature import StandardScalerModel
@@ -112,30 +113,111 @@ def read_scaler(path: str) -> StandardScalerModel:
 def _read_lines(
     spark: SparkSession, path: str, schema: T.StructType, invalid: str, ignore: Sequence[str]
 ) -> DataFrame:
-    """Lines of JSON, each parsed once as a VARIANT; see :func:`read_tickets`."""
+    """Lines of JSON, see :func:`read_tickets`.
+
+    Plain lines are told by :func:`_plain` and have their fields taken as they are. All others
+    are parsed as a VARIANT, which costs several times as much; a plain line would give the
+    same there. That part is made of lambdas, so that the code compiled for plain lines is small.
+    """
     _check_invalid(invalid)
     blank = F.trim("line", F.lit(" \t\r\n")) == ""
     lines = spark.read.text(path).select(F.col("value").alias("line")).where(~blank)
-    parsed = lines.select("line", F.try_parse_json("line").alias("whole"))
-    items = F.coalesce(F.try_variant_get("whole", "$", "array<variant>"), F.array("whole"))
-    single = parsed.select("line", F.explode(items).alias("item"))
-    fields = single.select("line", "item", F.try_variant_get("item", "$", "map<string,variant>").alias("fields"))
-    # Keys that come twice, and the like, are no VARIANT, but known fields can be read.
+    direct = [f for f in schema if isinstance(f.dataType, (T.StringType, T.IntegralType))]
+    numbers = [f.name for f in schema if f not in direct]
+    found = F.from_json("line", T.StructType(direct), {"allowNonNumericNumbers": "false"}).alias("found")
+    told = lines.select("line", found, *[_token("line", name).alias(name) for name in numbers])
+    told = told.select("*", _start(schema, numbers).alias("start"), F.concat_ws(" ", *numbers).alias("numbers"))
+    told = told.select("*", _rest("line", "start").alias("rest"))
+    told = told.select("*", _plain("numbers", "rest", schema, ignore).alias("plain"))
+    own = [
+        F.col(f.name).try_cast(f.dataType).alias(f.name) if f.name in numbers else F.col("found")[f.name].alias(f.name)
+        for f in schema
+        if f.name not in ignore
+    ]
+    other = F.when(F.length("rest") > 1, F.concat(F.lit("{"), F.substring("rest", 2, PLAIN_LENGTH))).alias(OTHER_FIELDS)
+    rows = told.select(
+        "plain",
+        F.when(F.col("plain"), F.struct(*own, other)).alias("own"),
+        F.when(~F.col("plain"), _parsed(F.col("line"), schema, invalid, ignore)).alias("parsed"),
+    )
+    return rows.select(F.inline(F.when(F.col("plain"), F.array("own")).otherwise(F.col("parsed"))))
+
+
+PLAIN_LENGTH = 4096  # of the part behind the known fields
+_NUMBER = r"(?:-(?=[0-9.]*[1-9]))?[0-9]{1,17}(?:\.[0-9]{1,10})?"
+
+
+def _token(line: str, name: str) -> Column:
+    """What stands in the line for a field, up to the next comma; null without the field."""
+    key = F.lit(f'"{name}":')
+    behind = F.substring_index(F.substring_index(line, f'"{name}":', -1), ",", 1)
+    return F.when(F.contains(F.col(line), key), F.rtrim(behind, F.lit("}")))
+
+
+def _start(schema: T.StructType, numbers: Sequence[str]) -> Column:
+    """How a line without blanks and escapes begins that holds the values found, in the order
+    of the schema."""
+    parts = []
+    for f in schema:
+        value = F.col(f.name) if f.name in numbers else F.col("found")[f.name].cast("string")
+        quote = F.lit('"' if isinstance(f.dataType, T.StringType) else "")
+        parts.append(F.concat(F.lit(f'"{f.name}":'), quote, value, quote))
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts))
+
+
+def _rest(line: str, start: str) -> Column:
+    """What follows ``start`` in the line; null if the line begins otherwise."""
+    behind = F.substr(F.col(line), F.length(start) + 1)
+    return F.when((F.length(start) > 1) & F.startswith(F.col(line), F.col(start)), behind)
+
+
+def _plain(numbers: str, rest: str, schema: T.StructType, ignore: Sequence[str]) -> Column:
+    """True where numbers are written so that their text is that of their VARIANT and fits their
+    type, and at most one field follows, a whole number or a text without escapes.
+
+    Such a line is all known: no field comes twice, as ``rest`` may not name a known one.
+    """
+    fits = F.col(numbers).rlike(rf"\A(?:{_NUMBER}(?: {_NUMBER})*)?\z")
+    names = "|".join(re.escape(name) for name in (*schema.names, *ignore))
+    one = rf'\A,"(?!(?:{names})")\w+":(?:0|-?[1-9][0-9]{{0,16}}|"[A-Za-z][A-Za-z0-9 _.:-]*")\}}\z'
+    single = (F.length(rest) <= PLAIN_LENGTH) & F.col(rest).rlike(one)
+    return F.coalesce(((F.col(rest) == "}") | single) & fits, F.lit(False))
+
+
+def _parsed(line: Column, schema: T.StructType, invalid: str, ignore: Sequence[str]) -> Column:
+    """The rows of any line, from its VARIANT."""
     texts = T.StructType([T.StructField(name, T.StringType()) for name in schema.names])
-    odd = F.when(F.col("fields").isNull(), F.from_json("line", texts)).alias("odd")
-    raw = fields.select("line", "fields", "item", odd).select(
-        *[
-            F.when(F.col("fields").isNull(), F.col("odd")[f.name])
-            .otherwise(F.try_variant_get("item", f"$.{f.name}", "string"))
-            .alias(f.name)
-            for f in schema
-        ],
-        F.when(F.col("fields").isNull(), F.col("line"))
-        .otherwise(_canonical(F.col("fields"), {*schema.names, *ignore}))
-        .alias(OTHER_FIELDS),
+    whole = F.array(F.try_parse_json(line))
+    items = F.flatten(
+        F.transform(whole, lambda w: F.coalesce(F.try_variant_get(w, "$", "array<variant>"), F.array(w)))
+    )
+    split = F.transform(
+        items,
+        lambda item: F.struct(item.alias("item"), F.try_variant_get(item, "$", "map<string,variant>").alias("fields")),
+    )
+    # Keys that come twice, and the like, are no VARIANT, but known fields can be read.
+    read = F.transform(
+        split,
+        lambda x: F.struct(
+            F.when(x["fields"].isNull(), F.from_json(line, texts))
+            .otherwise(F.struct(*[F.try_variant_get(x["item"], f"$.{c}", "string").alias(c) for c in schema.names]))
+            .alias("known"),
+            F.when(x["fields"].isNull(), line)
+            .otherwise(_canonical(x["fields"], {*schema.names, *ignore}))
+            .alias(OTHER_FIELDS),
+        ),
+    )
+    return F.transform(
+        read,
+        lambda x: F.struct(
+            *[
+                _checked_value(f, x["known"][f.name], T.StringType(), invalid).alias(f.name)
+                for f in schema
+                if f.name not in ignore
+            ],
+            x[OTHER_FIELDS].alias(OTHER_FIELDS),
+        ),
     )
-    known = [_checked(f, raw.schema, invalid).alias(f.name) for f in schema if f.name not in ignore]
-    return raw.select(*known, OTHER_FIELDS)
 
 
 def _canonical(fields: Column, without: set[str]) -> Column:
@@ -197,9 +279,13 @@ def _raw(
 
 
 def _cast(field: T.StructField, given: T.StructType) -> Column:
+    return _cast_value(field, F.col(field.name), given[field.name].dataType)
+
+
+def _cast_value(field: T.StructField, value: Column, given: T.DataType) -> Column:
     """The field in its type; null where the type does not hold the value as it is."""
-    value, kind = F.col(field.name), field.dataType
-    if given[field.name].dataType == kind:
+    kind = field.dataType
+    if given == kind:
         return value
     text = value.cast("string")
     if isinstance(kind, T.IntegralType):
@@ -214,8 +300,12 @@ def _cast(field: T.StructField, given: T.StructType) -> Column:
 
 
 def _checked(field: T.StructField, given: T.StructType, invalid: str) -> Column:
-    cast, value = _cast(field, given), F.col(field.name)
-    if invalid == "null" or given[field.name].dataType == field.dataType:
+    return _checked_value(field, F.col(field.name), given[field.name].dataType, invalid)
+
+
+def _checked_value(field: T.StructField, value: Column, given: T.DataType, invalid: str) -> Column:
+    cast = _cast_value(field, value, given)
+    if invalid == "null" or given == field.dataType:
         return cast
     said = F.concat(
         F.lit(f"{field.name} is no {field.dataType.simpleString()}: "), value.cast("string")
