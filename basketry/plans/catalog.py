@@ -66,12 +66,21 @@ def rfm_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rfm.rfm(fixtures.tickets(spark, sf_dir))
 
 
+# Compressed files cannot be split, so their number of lines bounds what a task reads.
+FILE_LINES = 50_000
+
+
+def _write_tickets(tickets: DataFrame, path: str) -> None:
+    """Ticket files as a batch would get them: compressed JSON, each of few lines."""
+    tickets.write.option("compression", "gzip").option("maxRecordsPerFile", FILE_LINES).json(path)
+
+
 def json_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RFM of ticket lines that went through JSON with a number in each line.
 
     Lines that differ only in that number are different lines."""
     path = f"{Scratch(spark).folder}/tickets"
-    fixtures.tickets(spark, sf_dir, numbered=True).write.json(path)
+    _write_tickets(fixtures.tickets(spark, sf_dir, numbered=True), path)
     return rfm.rfm(read_tickets(spark, path))
 
 
@@ -172,7 +181,7 @@ def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _trained(spark: SparkSession, sf_dir: str, **layout: bool) -> str:
     """Folder with ticket files and all that the training job made of them."""
     folder = Scratch(spark).folder
-    fixtures.tickets(spark, sf_dir).write.json(f"{folder}/tickets")
+    _write_tickets(fixtures.tickets(spark, sf_dir), f"{folder}/tickets")
     jobs.train(
         spark,
         input=f"{folder}/tickets",
@@ -230,7 +239,8 @@ def reports_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Health shares from tables that all went through files of their own formats."""
     folder = Scratch(spark).folder
     given = fixtures.retail_tables(spark, sf_dir)
-    for name in ("predictions", "tickets", "customers", "stores", "products"):
+    _write_tickets(given.tickets, f"{folder}/tickets")
+    for name in ("predictions", "customers", "stores", "products"):
         getattr(given, name).write.json(f"{folder}/{name}")
     given.classification.write.option("header", True).csv(f"{folder}/classification")
     return insights.health_share(
