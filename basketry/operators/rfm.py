@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from basketry.functions.columns import purchase_date
 from basketry.functions.quantiles import exact_quantiles, exact_quantiles_of
+from basketry.functions.sizing import small_tasks
 from basketry.functions.storage import Scratch
 from basketry.schemas import BOUNDS, THRESHOLDS
 
@@ -86,7 +87,8 @@ def rfm_batch(tickets: DataFrame, scratch: Scratch, as_of: datetime.date | None
         F.count(F.lit(1)).alias("customers"),
         F.count_if(F.col("last_date").isNull()).alias("undated"),
     )
-    written = scratch.table(facts, "facts")
+    with small_tasks(scratch.spark):
+        written = scratch.table(facts, "facts")
     found = seen.get
     day = found.get("last_date") if as_of is None else as_of
     return Batch(
