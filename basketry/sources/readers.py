@@ -138,9 +138,21 @@ def _read_lines(
     rows = told.select(
         "plain",
         F.when(F.col("plain"), F.struct(*own, other)).alias("own"),
-        F.when(~F.col("plain"), _parsed(F.col("line"), schema, invalid, ignore)).alias("parsed"),
+        F.when(~F.col("plain"), _parsed(F.col("line"), schema, ignore)).alias("parsed"),
+    )
+    texts = T.StructType([T.StructField(name, T.StringType()) for name in schema.names])
+    single = F.array(F.struct(F.lit(None).cast(texts).alias("known"), F.col(f"own.{OTHER_FIELDS}").alias(OTHER_FIELDS)))
+    each = rows.select("plain", "own", F.inline(F.when(F.col("plain"), single).otherwise(F.col("parsed"))))
+    return each.select(
+        *[
+            F.when(F.col("plain"), F.col("own")[f.name])
+            .otherwise(_checked_value(f, F.col("known")[f.name], T.StringType(), invalid))
+            .alias(f.name)
+            for f in schema
+            if f.name not in ignore
+        ],
+        OTHER_FIELDS,
     )
-    return rows.select(F.inline(F.when(F.col("plain"), F.array("own")).otherwise(F.col("parsed"))))
 
 
 PLAIN_LENGTH = 4096  # of the part behind the known fields
@@ -184,8 +196,8 @@ def _plain(numbers: str, rest: str, schema: T.StructType, ignore: Sequence[str])
     return F.coalesce(((F.col(rest) == "}") | single) & fits, F.lit(False))
 
 
-def _parsed(line: Column, schema: T.StructType, invalid: str, ignore: Sequence[str]) -> Column:
-    """The rows of any line, from its VARIANT."""
+def _parsed(line: Column, schema: T.StructType, ignore: Sequence[str]) -> Column:
+    """The rows of any line, from its VARIANT: known fields as text, and the others."""
     texts = T.StructType([T.StructField(name, T.StringType()) for name in schema.names])
     whole = F.array(F.try_parse_json(line))
     items = F.flatten(
@@ -196,7 +208,7 @@ def _parsed(line: Column, schema: T.StructType, invalid: str, ignore: Sequence[s
         lambda item: F.struct(item.alias("item"), F.try_variant_get(item, "$", "map<string,variant>").alias("fields")),
     )
     # Keys that come twice, and the like, are no VARIANT, but known fields can be read.
-    read = F.transform(
+    return F.transform(
         split,
         lambda x: F.struct(
             F.when(x["fields"].isNull(), F.from_json(line, texts))
@@ -207,17 +219,6 @@ def _parsed(line: Column, schema: T.StructType, invalid: str, ignore: Sequence[s
             .alias(OTHER_FIELDS),
         ),
     )
-    return F.transform(
-        read,
-        lambda x: F.struct(
-            *[
-                _checked_value(f, x["known"][f.name], T.StringType(), invalid).alias(f.name)
-                for f in schema
-                if f.name not in ignore
-            ],
-            x[OTHER_FIELDS].alias(OTHER_FIELDS),
-        ),
-    )
 
 
 def _canonical(fields: Column, without: set[str]) -> Column:
