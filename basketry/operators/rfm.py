@@ -40,6 +40,15 @@ def ticket_lines(tickets: DataFrame) -> DataFrame:
     )
 
 
+def written_lines(tickets: DataFrame, scratch: Scratch) -> DataFrame:
+    """:func:`ticket_lines` as a written table, reduced in tasks of bounded input.
+
+    Where the tickets come from a join on the ticket, its tasks hold their lines in the maps
+    of both steps too, which take some thirty times the bytes of the shuffle."""
+    with small_tasks(scratch.spark):
+        return scratch.table(ticket_lines(tickets), "lines")
+
+
 def customer_facts(tickets: DataFrame) -> DataFrame:
     """Last purchase date, distinct tickets and amount paid of each customer.
 

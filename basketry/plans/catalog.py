@@ -55,7 +55,7 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ticket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = rfm.ticket_lines(fixtures.tickets(spark, sf_dir))
+    lines = rfm.written_lines(fixtures.tickets(spark, sf_dir), Scratch(spark))
     amounts = ("extendedamount", "originalamount", "totaldiscount")
     return lines.withColumns(
         {"date": F.col("date").cast("string"), **{a: F.col(a).cast("double") for a in amounts}}
