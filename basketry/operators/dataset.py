@@ -91,7 +91,11 @@ class WrittenDataset:
 
 @dataclass(frozen=True)
 class RetailTables:
-    """The six tables, from which the joined relation is derived as far as it is needed."""
+    """The six tables, from which the joined relation is derived as far as it is needed.
+
+    ``distinct_tickets`` says that no ticket line of a customer occurs twice, as in a table
+    that was written so: its lines then go straight to the first join.
+    """
 
     predictions: DataFrame
     tickets: DataFrame
@@ -100,6 +104,7 @@ class RetailTables:
     products: DataFrame
     classification: DataFrame
     broadcast_bytes: int = BROADCAST_BYTES
+    distinct_tickets: bool = False
 
     def dataset(self) -> DataFrame:
         """The whole joined relation."""
@@ -111,13 +116,10 @@ class RetailTables:
         All dimensions take part even if no column of theirs is asked for, because a key
         with several dimension rows multiplies the lines.
         """
-        joined = (
-            self.tickets.select(*LINE_COLUMNS)
-            .distinct()
-            .join(self._members(SEGMENT_COLUMNS, CUSTOMER_COLUMNS), "customerid")
-        )
-        joined = self._dimension(joined, self._stores(), "storeid")
+        joined = self._lines().join(self._members(SEGMENT_COLUMNS, CUSTOMER_COLUMNS), "customerid")
+        # Products are the larger table: if only they are shuffled, no city goes along.
         joined = self._dimension(joined, self._products(PRODUCT_COLUMNS + CLASS_COLUMNS), "productid")
+        joined = self._dimension(joined, self._stores(), "storeid")
         return joined.select(*columns).unionByName(
             self._without_tickets(SEGMENT_COLUMNS).select(*self._or_null(columns))
         )
@@ -154,8 +156,7 @@ class RetailTables:
         """
         sums = (F.sum("lines").alias("lines"), F.sum("paid").alias("paid"))
         summed = (
-            self.tickets.select(*LINE_COLUMNS)
-            .distinct()
+            self._lines()
             .join(self._members(SEGMENT_COLUMNS, CUSTOMER_COLUMNS), "customerid")
             .groupBy("segmento", "storeid", "productid")
             .agg(*_line_sums())
@@ -178,6 +179,11 @@ class RetailTables:
         """Products with the distinct values of their ``attributes``."""
         return broadcast_within(self._products(attributes), self.broadcast_bytes)
 
+    def _lines(self) -> DataFrame:
+        """The distinct ticket lines."""
+        lines = self.tickets.select(*LINE_COLUMNS)
+        return lines if self.distinct_tickets else lines.distinct()
+
     def _dimension(self, lines: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
         return join_dimension(lines, dimension, key, counted=self.tickets, limit=self.broadcast_bytes)
 

@@ -49,14 +49,15 @@ def written_lines(tickets: DataFrame, scratch: Scratch) -> DataFrame:
         return scratch.table(ticket_lines(tickets), "lines")
 
 
-def customer_facts(tickets: DataFrame) -> DataFrame:
+def customer_facts(tickets: DataFrame, distinct: bool = False) -> DataFrame:
     """Last purchase date, distinct tickets and amount paid of each customer.
 
     The roll-up of :func:`ticket_lines` changes none of the three, so it is left out:
-    the distinct lines are aggregated to tickets and then to customers.
+    the distinct lines are aggregated to tickets and then to customers. ``distinct`` says
+    that no line occurs twice.
     """
     return (
-        tickets.dropDuplicates()
+        (tickets if distinct else tickets.dropDuplicates())
         .groupBy("customerid")
         .agg(
             F.max(purchase_date()).alias("last_date"),
@@ -86,11 +87,13 @@ class Batch:
     undated: int
 
 
-def rfm_batch(tickets: DataFrame, scratch: Scratch, as_of: datetime.date | None = None) -> Batch:
+def rfm_batch(
+    tickets: DataFrame, scratch: Scratch, as_of: datetime.date | None = None, distinct: bool = False
+) -> Batch:
     """Reads the tickets once: the write of the customer facts also collects the last date
     of the batch and the counts, as observed metrics of the rows that pass."""
     seen = Observation()
-    facts = customer_facts(tickets).observe(
+    facts = customer_facts(tickets, distinct).observe(
         seen,
         F.max("last_date").alias("last_date"),
         F.count(F.lit(1)).alias("customers"),
@@ -108,15 +111,17 @@ def rfm_batch(tickets: DataFrame, scratch: Scratch, as_of: datetime.date | None
     )
 
 
-def rfm(tickets: DataFrame, as_of: datetime.date | None = None) -> DataFrame:
+def rfm(
+    tickets: DataFrame, as_of: datetime.date | None = None, distinct: bool = False
+) -> DataFrame:
     """RFM table; recency counts from ``as_of``, by default the last date of the batch.
 
     The last date is known only when all tickets are read, so without ``as_of`` their
     aggregate is written to the shared folder here, and the tickets are not read again.
     """
     if as_of is not None:
-        return with_recency(customer_facts(tickets), F.lit(as_of))
-    return rfm_batch(tickets, Scratch(tickets.sparkSession)).table
+        return with_recency(customer_facts(tickets, distinct), F.lit(as_of))
+    return rfm_batch(tickets, Scratch(tickets.sparkSession), distinct=distinct).table
 
 
 def trim_bounds(

@@ -256,7 +256,7 @@ def reports_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def analysis_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dataset = fixtures.retail_tables(spark, sf_dir).dataset()
+    dataset = fixtures.written_tables(spark, sf_dir, Scratch(spark)).dataset()
     amounts = ("extendedamount", "originalamount", "totaldiscount")
     return dataset.withColumns({a: F.col(a).cast("double") for a in amounts})
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketry.functions.columns import segment_name
+from basketry.functions.sizing import small_tasks
+from basketry.functions.storage import Scratch
 from basketry.operators.dataset import RetailTables
 from basketry.operators.rfm import rfm
 from basketry.operators.segments import N_CLUSTERS
@@ -21,6 +23,10 @@ def _unless(condition: Column, value: Column) -> Column:
     return F.when(~condition, value)
 
 
+def _known(customer: Column) -> Column:
+    return _unless(customer % 97 == 0, customer)
+
+
 def tickets(
     spark: SparkSession, sf_dir: str, anonymous: bool = False, numbered: bool = False
 ) -> DataFrame:
@@ -34,7 +40,7 @@ def tickets(
     discount = F.col("l_discount").cast("decimal(4,2)")
     customer = F.col("o_custkey")
     if anonymous:
-        customer = _unless(customer % 97 == 0, customer)
+        customer = _known(customer)
     copies = F.when(F.col("l_orderkey") % 10 == 0, 2).otherwise(1)
     lines = _read(spark, sf_dir, "lineitem")
     orders = _read(spark, sf_dir, "orders").select(
@@ -112,12 +118,12 @@ def classification(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RFM table with segments by a rule, so that reports do not depend on K-Means."""
+    return _segmented(rfm(tickets(spark, sf_dir)))
+
+
+def _segmented(rfm_table: DataFrame) -> DataFrame:
     rule = F.expr(f"cast((customerid div 10) % {N_CLUSTERS} as int)")
-    return (
-        rfm(tickets(spark, sf_dir))
-        .withColumn("prediction", rule)
-        .withColumn("segmento", segment_name(F.col("prediction")))
-    )
+    return rfm_table.withColumn("prediction", rule).withColumn("segmento", segment_name(F.col("prediction")))
 
 
 def retail_tables(spark: SparkSession, sf_dir: str) -> RetailTables:
@@ -129,3 +135,22 @@ def retail_tables(spark: SparkSession, sf_dir: str) -> RetailTables:
         products=products(spark, sf_dir),
         classification=classification(spark, sf_dir),
     )
+
+
+def written_tables(spark: SparkSession, sf_dir: str, scratch: Scratch) -> RetailTables:
+    """The same tables for a job that passes several times over whole ticket lines.
+
+    Order lines meet their orders once: the distinct ticket lines are written, and the RFM
+    step and all later passes read them. Taking away a customer makes no two lines of known
+    customers equal."""
+    with small_tasks(spark):
+        lines = scratch.table(tickets(spark, sf_dir).distinct(), "tickets")
+    return RetailTables(
+        predictions=_segmented(rfm(lines, distinct=True)),
+        tickets=lines.withColumn("customerid", _known(F.col("customerid"))),
+        customers=customers(spark, sf_dir),
+        stores=stores(spark, sf_dir),
+        products=products(spark, sf_dir),
+        classification=classification(spark, sf_dir),
+        distinct_tickets=True,
+    )
