@@ -30,7 +30,7 @@ from basketry.llm.tasks import map_arrow, table, texts_of
 
 SPACE = "▁"  # stands for a blank inside pieces
 UNKNOWN = " ⁇ "  # what the unknown id reads as
-CACHED = 1 << 18  # segments whose ids a task remembers
+CACHED = 1 << 18  # segments whose ids a task remembers, besides as many older ones
 CACHED_CHARS = 48  # longer ones are not remembered
 CHARS = 1 << 20  # characters whose ids a task hands over at once
 
@@ -170,6 +170,7 @@ class Encoder:
         self.pairs = {p[i : i + 2] for p in inner for i in range(len(p) - 1)}
         self.grown: dict[str, _Edges] = {}
         self.segments: dict[str, bytes] = {}  # ids of remembered segments, four bytes each
+        self.older: dict[str, bytes] = {}  # those before them; what is met again moves up
         alone = "".join(c for c in "\n\t\r" if not any(c in p for p in inner))
         if any(SPACE in p.lstrip(SPACE) for p in inner):  # a piece spans the start of a word
             self.cut = re.compile("(?s).+")
@@ -279,8 +280,10 @@ class Encoder:
         prefix = SPACE if self.model.prefix else ""
         parts = [self.cut.findall(prefix + t.replace(" ", SPACE)) if t else [] for t in texts]
         if len(self.segments) > CACHED:
-            self.segments.clear()
-        unknown = sorted(set(chain.from_iterable(parts)).difference(self.segments))
+            self.older, self.segments = self.segments, {}
+        needed = set(chain.from_iterable(parts)).difference(self.segments)
+        self.segments.update((t, self.older[t]) for t in needed if t in self.older)
+        unknown = sorted(needed.difference(self.segments))
         for low, high in _runs([len(t) for t in unknown], CHARS):
             self._learn(unknown[low:high])
         found = [b"".join(map(self.segments.__getitem__, part)) for part in parts]
@@ -320,11 +323,10 @@ def _text(content: bytes) -> str:
 
 def _shared(a: str, b: str) -> int:
     """Number of characters that both begin with."""
-    most = min(len(a), len(b))
-    for i in range(most):
-        if a[i] != b[i]:
+    for i, (x, y) in enumerate(zip(a, b)):
+        if x != y:
             return i
-    return most
+    return min(len(a), len(b))
 
 
 def _runs(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:

@@ -119,3 +119,15 @@ def test_query_over_a_whole_table(spark):
         ids = LIBRARY.encode(row.text or "")
         wanted.add((row.doc_id, len(ids), sha(",".join(map(str, ids))), sha(LIBRARY.decode(ids))))
     assert found == wanted
+
+
+def test_frequent_segments_stay_when_the_remembered_ones_are_too_many(monkeypatch):
+    monkeypatch.setattr(pieces, "CACHED", 50)
+    encoder, learned = pieces.Encoder(MODEL), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda texts: (learned.extend(texts), learn(texts)))
+    for k in range(100):
+        text = "the house " + " ".join(f"w{k}x{i}" for i in range(20))
+        assert encoder.encode(text) == LIBRARY.encode(text)
+    assert learned.count("▁house") == 1
+    assert len(encoder.segments) + len(encoder.older) < 2 * 50 + 2 * 30
