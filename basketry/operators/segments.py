@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import numpy as np
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
@@ -164,7 +166,9 @@ def vector_kmeans(
     :func:`weighted_kmeans`. A point with a null or NaN coordinate, or of another size, takes no part.
     """
     size = len(seeds[0])
-    usable = (F.size("point") == size) & ~F.exists("point", lambda x: x.isNull() | F.isnan(x))
+    # One comparison per coordinate: a function over the array would be called for every point and round.
+    axes = [F.get("point", i) for i in range(size)]
+    usable = reduce(and_, [a.isNotNull() & ~F.isnan(a) for a in axes], F.size("point") == size)
     points = points.where(F.col("point").isNotNull() & usable)
     centers = [[float(x) for x in seed] for seed in seeds]
     for _ in range(iterations):

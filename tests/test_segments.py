@@ -213,3 +213,18 @@ def test_sums_of_a_centre_leave_a_task_as_one_row(spark):
     assert [(r["center"], r["n"], r["x1"]) for r in sums.collect()] == [(0, 200_000, 100_000.0)]
     plan = sums._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "ArrowEval" not in plan
+
+
+def test_rounds_call_no_function_for_each_coordinate(spark, monkeypatch):
+    plans = []
+    sums = segments._center_sums
+
+    def noted(points, *given):
+        found = sums(points, *given)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(segments, "_center_sums", noted)
+    points = spark.range(100).selectExpr("array(double(id), 0.5D) AS point")
+    segments.vector_kmeans(points, [[0.0, 0.0], [100.0, 0.0]])
+    assert plans and "lambda" not in "".join(plans)
