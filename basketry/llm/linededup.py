@@ -6,18 +6,22 @@ a band are candidates, and a candidate link counts only if the exact Jaccard sim
 the shingle sets reaches the threshold. Distributed union-find joins the links, and of
 each component only the first line of the first document stays.
 
-Lines are read and signatures computed in one pass and written. Bands travel as two numbers a row, without text.
-Only bands that two nodes or more share go on, once for each set of nodes. A set of more than
+Lines are read and signatures computed in one pass and written. Bands travel without text, packed
+by bucket, each with its node and a mark: two bits of each of the signature's bins. Most bands are shared
+by chance, the more the larger the table, so nodes of a band whose marks disagree part where
+bands meet; what holds together goes on, once for each set of nodes. A set of more than
 ``BLOCK`` nodes is cut into blocks and every pair of blocks meets in a task of its own: nothing
 is skipped, no task holds more than two blocks, and tasks report spanning forests, not pairs.
-Sets first meet as sketches, four bits of each of the signature's bins, and fall apart where
+Sets then meet as sketches, four bits of each of the signature's bins, and fall apart where
 fewer than ``AGREE`` bins agree; texts are fetched only for what holds together. Similarity 0.8
 makes 45 of the 56 bins agree, with a deviation of 3, so links of 0.8 lie six deviations above.
+Bins that agree in four bits agree in two: marks, held against the same bound, part nothing that
+sketches leave together.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -41,7 +45,10 @@ FEW = 64  # nodes of a set that is compared together with others
 WINDOW_BITS = 40  # five characters of a byte each
 WITHIN = 2  # side of the nodes of a block that meets itself
 SKETCH = [f"sketch_{k}" for k in range(-(-BANDS * ROWS // 16))]
+MARK = BANDS * ROWS // 4  # bytes of two bits of each bin
 SLICE = 1 << 16  # rows that a task hands over at once, or holds of one band
+BAND = 6  # bytes that are written of a band
+BUCKETS = 1 << 12  # of bands, by their highest bits
 CHARS = 1 << 16  # bytes of lines whose signatures are computed at once
 
 # Lower-cases A-Z and blanks ASCII other than letters and digits.
@@ -60,6 +67,8 @@ _PROBES = np.concatenate(
     ]
 )
 _NONE = np.iinfo(np.uint64).max
+# A band within its bucket, a node that has it and the node's mark.
+_ENTRY = np.dtype([("band", "<u4"), ("node", "<i8"), ("mark", "u1", (MARK,))])
 # Odd factors that join two windows of one width to one of twice the width.
 _FACTORS = {
     1: np.uint64(0xC2B2AE3D27D4EB4F),
@@ -160,6 +169,12 @@ def bands(found: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def packed_bands(found: np.ndarray) -> list[bytes]:
+    """The highest ``BAND`` bytes of each of a signature's bands."""
+    keys = bands(found).view(np.uint8).reshape(len(found), BANDS, 8)[:, :, 8 - BAND :]
+    return np.ascontiguousarray(keys).reshape(len(found), BANDS * BAND).view(f"V{BANDS * BAND}").ravel().tolist()
+
+
 def sketches(found: np.ndarray) -> np.ndarray:
     """Low four bits of each bin of the signatures, sixteen bins to a number."""
     bits = np.zeros((len(found), 16 * len(SKETCH)), dtype=np.uint64)
@@ -177,6 +192,20 @@ def agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return BANDS * ROWS - np.bitwise_count(other).sum(axis=1, dtype=np.int64)
 
 
+def marks(short: np.ndarray) -> np.ndarray:
+    """Low two bits of each bin of :func:`sketches`, four bins to a byte."""
+    pairs = np.ascontiguousarray(short).view(np.uint8)[:, : 2 * MARK] & np.uint8(0x33)
+    return pairs[:, :MARK] | pairs[:, MARK:] << np.uint8(2)
+
+
+def agreeing_marks(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of bins in which the marks of two tables agree; marks as whole numbers of 64 bits."""
+    other = a ^ b
+    other |= other >> np.uint64(1)
+    other &= np.uint64(0x5555555555555555)
+    return BANDS * ROWS - np.bitwise_count(other).sum(axis=1, dtype=np.int64)
+
+
 def long_enough(form: bytes) -> bool:
     if form.startswith(b"\0"):
         return False
@@ -284,8 +313,8 @@ def row_key() -> Column:
 
 def signed_lines(docs: DataFrame) -> DataFrame:
     """``row_key``, ``doc_id``, ``line_no``, ``node`` of every line that is not blank; bands and
-    sketch of its node too where it is the first of a batch with a compared node, else null."""
-    names = [f"band_{k}" for k in range(BANDS)] + SKETCH
+    sketch of its node too where it is the first of a batch with a compared node, else null. Bands are packed, the highest
+    ``BAND`` bytes of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -308,64 +337,155 @@ def signed_lines(docs: DataFrame) -> DataFrame:
                 part = rows[low : low + SLICE // BANDS]
                 first, last = np.searchsorted(places, [low, low + len(part)])
                 found = signatures(forms[first:last])
-                values = np.zeros((len(names), len(part)), dtype=np.int64)
-                values[:, places[first:last] - low] = np.hstack([bands(found), sketches(found)]).T
+                values = np.zeros((len(SKETCH), len(part)), dtype=np.int64)
+                values[:, places[first:last] - low] = sketches(found).T
+                packed = np.full(len(part), None, dtype=object)
+                packed[places[first:last] - low] = packed_bands(found)
                 empty = np.ones(len(part), dtype=bool)
                 empty[places[first:last] - low] = False
                 own = dict(zip(("row_key", "doc_id", "line_no", "node"), zip(*part)))
-                yield own | {c: pa.array(v, mask=empty) for c, v in zip(names, values)}
+                yield own | {"bands": packed} | {c: pa.array(v, mask=empty) for c, v in zip(SKETCH, values)}
 
     rows = docs.select("doc_id", "text", row_key().alias("row_key"))
-    schema = ["row_key long", "doc_id long", "line_no int", *[f"{c} long" for c in ["node", *names]]]
+    schema = ["row_key long", "doc_id long", "line_no int", "node long", "bands binary", *[f"{c} long" for c in SKETCH]]
     return map_arrow(rows, ", ".join(schema), run)
 
 
 def signed_nodes(lines: DataFrame) -> DataFrame:
     """``node``, its bands and its sketch: the rows of :func:`signed_lines` that carry them."""
-    return lines.where("band_0 IS NOT NULL").drop("row_key", "doc_id", "line_no")
+    return lines.where("bands IS NOT NULL").drop("row_key", "doc_id", "line_no")
 
 
 def banded(signed: DataFrame) -> DataFrame:
-    """``band``, ``node`` of every row of :func:`signed_nodes`."""
-    return signed.select(F.explode(F.array(*[f"band_{k}" for k in range(BANDS)])).alias("band"), "node")
+    """``bucket``, ``entries``: the bands of the rows of :func:`signed_nodes`, those of one bucket
+    packed together, each with its node and the node's mark."""
+    most = SLICE // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += len(batch)
+            if size >= most:
+                yield _packed(pa.Table.from_batches(held))
+                held, size = [], 0
+        if size:
+            yield _packed(pa.Table.from_batches(held))
+
+    return map_arrow(signed.select("node", "bands", *SKETCH), "bucket int, entries binary", run)
+
+
+def _packed(rows: pa.Table) -> dict:
+    found = np.frombuffer(b"".join(rows["bands"].to_pylist()), np.uint8).reshape(-1, BAND)
+    keys = np.zeros((len(found), 8), dtype=np.uint8)
+    keys[:, 8 - BAND :] = found
+    keys = keys.view(np.uint64).ravel()
+    buckets = (keys >> np.uint64(52)).astype(np.uint16)
+    order = np.argsort(buckets, kind="stable")
+    entries = np.empty(len(keys), _ENTRY)
+    entries["band"] = keys[order] >> np.uint64(20) & np.uint64(0xFFFFFFFF)
+    entries["node"] = rows["node"].to_numpy()[order // BANDS]
+    entries["mark"] = marks(np.stack([rows[c].to_numpy() for c in SKETCH], axis=1))[order // BANDS]
+    counts = np.bincount(buckets, minlength=BUCKETS)
+    there = np.flatnonzero(counts)
+    ends = np.append(0, np.cumsum(counts[there]) * _ENTRY.itemsize).astype(np.int32)
+    packed = pa.Array.from_buffers(pa.binary(), len(there), [None, pa.py_buffer(ends), pa.py_buffer(entries)])
+    return {"bucket": there, "entries": packed}
 
 
 def candidate_sets(found: DataFrame) -> DataFrame:
-    """``cell``, ``node``: nodes that share a band, once for each set of nodes.
+    """``cell``, ``node``: nodes that share a band and hold together by their marks, once for each set of nodes.
 
-    Rows come sorted by band alone, a single number, which Spark sorts by radix; the nodes
-    of a run are put in order here. A run that a batch ends in is held for the next batch, up to
-    ``SLICE`` nodes; a longer one is passed on as it comes, numbered by its band.
+    ``found`` is that of :func:`banded`. A bucket that a batch ends in is held for the next batch. Where
+    much is held, bands of more than ``SLICE`` nodes are passed on as they come, numbered by the band;
+    bands of more than ``BLOCK`` nodes are passed on whole.
     """
+    block, most = BLOCK, SLICE
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys = nodes = np.zeros(0, dtype=np.int64)
-        passing = None
+        keys, entries = np.zeros(0, dtype=np.int64), np.zeros(0, _ENTRY)
+        passing, limit = np.zeros(0, dtype=np.int64), 16 * most
         for frame in frames:
-            keys = np.concatenate([keys, frame["band"].to_numpy()])
-            nodes = np.concatenate([nodes, frame["node"].to_numpy()])
+            more = np.frombuffer(b"".join(frame["entries"]), _ENTRY)
+            buckets = np.repeat(frame["bucket"].to_numpy(np.int64), frame["entries"].map(len) // _ENTRY.itemsize)
+            keys = np.concatenate([keys, buckets << 32 | more["band"]])
+            entries = np.concatenate([entries, more])
             if not len(keys):
                 continue
-            cut = int(np.searchsorted(keys, keys[-1]))  # start of the open run
-            yield _sets(keys[:cut], nodes[:cut], passing)
+            cut = int(np.searchsorted(keys >> 32, keys[-1] >> 32))  # start of the open bucket
+            yield from _marked_sets(keys[:cut], entries[:cut], passing, block)
+            keys, entries = keys[cut:], entries[cut:]
             if cut:
-                passing = None
-            keys, nodes = keys[cut:], np.unique(nodes[cut:])
-            keys = keys[: len(nodes)]
-            if len(nodes) > SLICE:
-                passing = int(keys[0])
-                yield _sets(keys, nodes, passing)
-                keys, nodes = keys[:0], nodes[:0]
-        yield _sets(keys, nodes, passing)
-
-    dealt = found.repartition("band").sortWithinPartitions("band")
+                limit = 16 * most
+            if len(keys) > limit:
+                order = np.lexsort((entries["node"], keys))
+                keys, entries = keys[order], entries[order]
+                fresh = np.append(True, (keys[1:] != keys[:-1]) | (entries["node"][1:] != entries["node"][:-1]))
+                keys, entries = keys[fresh], entries[fresh]
+                bands_, counts = np.unique(keys, return_counts=True)
+                passing = np.union1d(passing, bands_[counts > most])
+                gone = np.isin(keys, passing)
+                yield _sets(keys[gone], entries["node"][gone], passing)
+                keys, entries = keys[~gone], entries[~gone]
+                limit = max(16 * most, 2 * len(keys))
+        yield from _marked_sets(keys, entries, passing, block)
+
+    dealt = found.repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInPandas(run, "cell long, node long").distinct()
 
 
-def _sets(keys: np.ndarray, nodes: np.ndarray, passing: int | None) -> pd.DataFrame:
+def _marked_sets(keys: np.ndarray, entries: np.ndarray, passing: np.ndarray, block: int) -> Iterator[pd.DataFrame]:
+    """Sets of the bands ``keys``, which are complete but for those that are ``passing``."""
+    if len(passing):
+        gone = np.isin(keys, passing)
+        yield _sets(keys[gone], entries["node"][gone], passing)
+        keys, entries = keys[~gone], entries[~gone]
+    order = np.argsort(keys)
+    same = keys[order[1:]] == keys[order[:-1]]
+    shared = order[np.append(False, same) | np.append(same, False)] if len(order) else order
+    keys, entries = keys[shared], entries[shared]
+    order = np.lexsort((entries["node"], keys))
+    keys, entries = keys[order], entries[order]
+    nodes = entries["node"].copy()
+    fresh = np.ones(len(keys), dtype=bool)
+    fresh[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
+    keys, nodes = keys[fresh], nodes[fresh]
+    own = np.zeros((len(keys), 16), dtype=np.uint8)
+    own[:, :MARK] = entries["mark"][fresh]
+    own = own.view(np.uint64)
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, dtype=int)
+    counts = np.diff(np.append(starts, len(keys)))
+    sizes = np.repeat(counts, counts)
+    after = np.repeat(starts + counts, counts) - np.arange(len(keys)) - 1
+    yield _sets(keys[sizes > block], nodes[sizes > block], None)
+    for low, high in ((2, min(FEW, block)), (FEW + 1, block)):  # long bands take many steps, so by themselves
+        use = np.flatnonzero((sizes >= low) & (sizes <= high))
+        near = own[use]
+        label = _together(after[use], lambda a, b: agreeing_marks(near[a], near[b]) >= AGREE)
+        yield _sets(label, nodes[use], None)
+
+
+def _together(after: np.ndarray, near: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The least row of the part that each row is in; ``after`` rows of its group follow a row.
+
+    Each row meets the one ``step`` rows after it, for every step, unless both are connected."""
+    label = np.arange(len(after))
+    step, open_ = 1, np.flatnonzero(after > 0)
+    while len(open_):
+        a, b = open_, open_ + step
+        apart = label[a] != label[b]
+        a, b = a[apart], b[apart]
+        use = near(a, b)
+        _unite(label, a[use], b[use])
+        step += 1
+        open_ = open_[after[open_] >= step]
+    return label
+
+
+def _sets(keys: np.ndarray, nodes: np.ndarray, passing: np.ndarray | None) -> pd.DataFrame:
     """Rows of the runs with two nodes or more; the number of a run is that of its set.
 
-    The run of band ``passing`` comes in pieces and is numbered by the band."""
+    Runs of the bands ``passing`` come in pieces and are numbered by the band."""
     order = np.lexsort((nodes, keys))
     keys, nodes = keys[order], nodes[order]
     fresh = np.ones(len(keys), dtype=bool)
@@ -378,8 +498,8 @@ def _sets(keys: np.ndarray, nodes: np.ndarray, passing: int | None) -> pd.DataFr
     values = nodes.view(np.uint64)
     number = np.add.reduceat(_mixed(values ^ values >> np.uint64(31), values), starts)
     number = _mixed(number, counts.astype(np.uint64)).view(np.int64)
-    pieces = keys[starts] == passing if passing is not None else np.zeros(len(starts), bool)
-    number[pieces] = passing if passing is not None else 0
+    pieces = np.isin(keys[starts], passing) if passing is not None else np.zeros(len(starts), bool)
+    number[pieces] = keys[starts][pieces]
     use = np.repeat((counts > 1) | pieces, counts)
     return pd.DataFrame({"cell": np.repeat(number, counts)[use], "node": nodes[use]})
 
@@ -428,26 +548,21 @@ def alike_sets(cells: DataFrame, signed: DataFrame) -> DataFrame:
 
 
 def _alike(rows: np.ndarray) -> pd.DataFrame:
-    """Parts of two nodes or more of the pairs of blocks, whose rows stand together.
-
-    Each row meets the one ``step`` rows after it, for every step, unless both are connected."""
-    label = np.arange(len(rows))
-    if len(rows):
-        fresh = np.append(True, rows[1:, 0] != rows[:-1, 0])
-        ends = np.append(np.flatnonzero(fresh)[1:], len(rows))
-        after = ends[np.cumsum(fresh) - 1] - label.copy() - 1
-        side, sketch = rows[:, 1], np.ascontiguousarray(rows[:, 3:])
-        step, open_ = 1, np.flatnonzero(after > 0)
-        while len(open_):
-            a, b = open_, open_ + step
-            # Pairs inside one block are compared where the block meets itself.
-            use = (label[a] != label[b]) & ((side[a] == WITHIN) | (side[a] != side[b]))
-            a, b = a[use], b[use]
-            near = agreeing(sketch[a], sketch[b]) >= AGREE
-            _unite(label, a[near], b[near])
-            step += 1
-            open_ = open_[after[open_] >= step]
-    return _sets(label, rows[:, 2], None)
+    """Parts of two nodes or more of the pairs of blocks, whose rows stand together."""
+    if not len(rows):
+        return _sets(rows[:, 0], rows[:, 2], None)
+    fresh = np.append(True, rows[1:, 0] != rows[:-1, 0])
+    ends = np.append(np.flatnonzero(fresh)[1:], len(rows))
+    after = ends[np.cumsum(fresh) - 1] - np.arange(len(rows)) - 1
+    side, sketch = rows[:, 1], np.ascontiguousarray(rows[:, 3:])
+
+    def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        # Pairs inside one block are compared where the block meets itself.
+        use = (side[a] == WITHIN) | (side[a] != side[b])
+        use[use] = agreeing(sketch[a[use]], sketch[b[use]]) >= AGREE
+        return use
+
+    return _sets(_together(after, near), rows[:, 2], None)
 
 
 def without_subsets(sets: DataFrame) -> DataFrame:

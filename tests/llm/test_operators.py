@@ -1,6 +1,7 @@
 """Operators against plain definitions on small tables with every edge case."""
 
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter
@@ -673,6 +674,60 @@ def test_sketches_keep_similar_lines_together_and_part_others():
     assert all(len({side[n] for n in g["node"]}) == 2 for _, g in parts.groupby("cell"))
 
 
+def test_nodes_that_share_a_band_by_chance_part_where_bands_meet(spark):
+    chance = random.Random(16)
+    common = prose(chance, 9)
+    lines = [common + prose(chance, 16) for _ in range(150)]
+    lines += [line[:70] + "7" + line[71:] for line in lines[::5]]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    signed = linededup.signed_nodes(linededup.signed_lines(docs))
+    forms = [form for line in lines for _, form in linededup._lines(line.encode())]
+    found = linededup.signatures(forms)
+    place = {linededup.node_of(form): k for k, form in enumerate(forms)}
+    short, keys = linededup.sketches(found), linededup.bands(found)
+    sets = {}
+    for cell, node in linededup.candidate_sets(linededup.banded(signed)).collect():
+        sets.setdefault(cell, []).append(place[node])
+    low = np.int64(0x3333333333333333)
+    for own in sets.values():
+        near = lambda i, j: linededup.agreeing(short[[own[i]]] & low, short[[own[j]]] & low)[0] >= linededup.AGREE
+        assert len(own) > 1 and set(_components(len(own), near)) == {0}
+    together = {pair for own in sets.values() for pair in itertools.permutations(own, 2)}
+    shingles = [linededup.shingles(form.decode()) for form in forms]
+    chances = wanted = 0
+    for i, j in itertools.combinations(range(len(forms)), 2):
+        if (keys[i] == keys[j]).any():
+            alike = linededup.jaccard(shingles[i], shingles[j]) >= linededup.THRESHOLD
+            wanted, chances = wanted + alike, chances + ((i, j) not in together)
+            assert (i, j) in together or not alike
+    assert wanted >= 25 and chances >= 10
+
+
+def test_bands_of_many_nodes_pass_in_pieces(spark, monkeypatch):
+    """One band that all nodes have, and one of each pair of nodes, in tasks that hold little."""
+    monkeypatch.setattr(linededup, "SLICE", 20)
+    monkeypatch.setattr(linededup, "BLOCK", 30)
+    rng = np.random.default_rng(17)
+    bands = rng.integers(0, 256, size=(600, linededup.BANDS, linededup.BAND), dtype=np.uint8)
+    bands[:, 0] = 9
+    bands[1::2, 1] = bands[::2, 1]
+    short = np.repeat(rng.integers(-(1 << 62), 1 << 62, size=(300, len(linededup.SKETCH))), 2, axis=0)
+    made = [(i, bytes(b.tobytes()), *map(int, s)) for i, (b, s) in enumerate(zip(bands, short))]
+    sketch = ", ".join(f"{c} long" for c in linededup.SKETCH)
+    signed = spark.createDataFrame(made, f"node long, bands binary, {sketch}")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "5")
+    try:
+        sets = {}
+        for cell, node in linededup.candidate_sets(linededup.banded(signed)).collect():
+            sets.setdefault(cell, []).append(node)
+    finally:
+        spark.conf.set(name, before)
+    wanted = [[i, i + 1] for i in range(0, 600, 2)] + [list(range(600))]
+    assert sorted(map(sorted, sets.values())) == sorted(wanted)
+
+
 def test_only_sets_inside_another_are_left_out(spark):
     chance = random.Random(15)
     sets = {tuple(sorted(chance.sample(range(30), chance.choice([2, 2, 3, 5, 8])))) for _ in range(80)} | {(0, 1), (0, 1, 2)}
