@@ -11,6 +11,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +53,19 @@ class Scratch:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         files.delete(path, True)
+
+
+@contextmanager
+def transient_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a query go when it ends. Only for queries whose results
+    are written: until then lost files are computed again as ever."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

@@ -30,9 +30,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketry.functions.sizing import broadcast_within
-from basketry.functions.storage import Scratch
+from basketry.functions.storage import Scratch, transient_shuffles
 from basketry.llm.components import connected_components
-from basketry.llm.tasks import map_arrow, table, texts_of, transient_shuffles, with_length
+from basketry.llm.tasks import map_arrow, table, texts_of, with_length
 
 SHINGLE = 5
 THRESHOLD = 0.8

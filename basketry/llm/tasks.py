@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -62,19 +61,3 @@ def with_length(docs: DataFrame) -> DataFrame:
     if "n_chars" not in docs.columns:
         return docs
     return docs.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast("long"))
-
-
-@contextmanager
-def transient_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Inside, the shuffle files of a query go when it ends. Only for queries whose results
-    are written: until then lost files are computed again as ever."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)

@@ -6,12 +6,12 @@ import datetime
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from basketry.functions.columns import purchase_date
 from basketry.functions.quantiles import exact_quantiles, exact_quantiles_of
 from basketry.functions.sizing import small_tasks
-from basketry.functions.storage import Scratch
+from basketry.functions.storage import Scratch, transient_shuffles
 from basketry.schemas import BOUNDS, THRESHOLDS
 
 METRICS = ("recency", "frequency", "monetary")
@@ -56,17 +56,56 @@ def customer_facts(tickets: DataFrame, distinct: bool = False) -> DataFrame:
     the distinct lines are aggregated to tickets and then to customers. ``distinct`` says
     that no line occurs twice.
     """
-    return (
-        (tickets if distinct else tickets.dropDuplicates())
-        .groupBy("customerid")
-        .agg(
-            F.max(purchase_date()).alias("last_date"),
-            F.count_distinct("ticketid").alias("frequency"),
-            F.sum("extendedamount").cast("double").alias("monetary"),
-        )
+    if distinct:
+        lines, amount = tickets.withColumn(DATE, purchase_date()), F.col("extendedamount")
+    else:
+        lines, amount = narrow_lines(tickets).dropDuplicates(), narrow_amount(tickets, "extendedamount")
+    return lines.groupBy("customerid").agg(
+        F.max(DATE).alias("last_date"),
+        F.count_distinct("ticketid").alias("frequency"),
+        F.sum(amount).cast("double").alias("monetary"),
     )
 
 
+# Amounts of so many digits take 8 bytes in a shuffled row, others 24.
+NARROW = T.DecimalType(18, 4)
+DATE, ODD_KEY, WIDE = "_date", "_odd_datekey", "_wide"
+
+
+def _wide_amounts(tickets: DataFrame) -> list[str]:
+    """Amounts of types with more digits than 8 bytes hold."""
+    kinds = {f.name: f.dataType for f in tickets.schema}
+    return [name for name, kind in kinds.items() if isinstance(kind, T.DecimalType) and kind.precision > NARROW.precision]
+
+
+def narrow_lines(tickets: DataFrame) -> DataFrame:
+    """Ticket lines in fewer bytes, two of them equal just where the given ones are.
+
+    The date key becomes its date, and amounts become numbers of 8 bytes. Where the key is not
+    the usual text of its date, or an amount of the line does not fit, that key or the
+    amounts of the line stay as they are in a column of their own, which is null elsewhere.
+    """
+    amounts = _wide_amounts(tickets)
+    key = F.col("datekey")
+    small = {a: F.col(a).try_cast(NARROW) for a in amounts}
+    fits = [F.col(a).isNull() | F.coalesce(small[a] == F.col(a), F.lit(False)) for a in amounts]
+    lines = tickets.withColumns(
+        {DATE: purchase_date(), "_fits": reduce(lambda a, b: a & b, fits, F.lit(True))}
+    )
+    kept = {ODD_KEY: F.when(~F.col(DATE).cast("string").eqNullSafe(key), key)}
+    if amounts:
+        kept[WIDE] = F.when(~F.col("_fits"), F.struct(*amounts))
+    narrowed = {a: F.when(F.col("_fits"), small[a]) for a in amounts}
+    return lines.withColumns(kept | narrowed).drop("datekey", "_fits")
+
+
+def narrow_amount(tickets: DataFrame, name: str) -> Column:
+    """An amount of :func:`narrow_lines` in its type in ``tickets``."""
+    if name not in _wide_amounts(tickets):
+        return F.col(name)
+    return F.coalesce(F.col(name).cast(tickets.schema[name].dataType), F.col(WIDE)[name])
+
+
 def with_recency(facts: DataFrame, as_of: Column) -> DataFrame:
     """RFM table from customer facts: whole days from the last purchase to ``as_of``."""
     return facts.select(
@@ -91,7 +130,8 @@ def rfm_batch(
     tickets: DataFrame, scratch: Scratch, as_of: datetime.date | None = None, distinct: bool = False
 ) -> Batch:
     """Reads the tickets once: the write of the customer facts also collects the last date
-    of the batch and the counts, as observed metrics of the rows that pass."""
+    of the batch and the counts, as observed metrics of the rows that pass. The shuffle files
+    of the lines go with the write."""
     seen = Observation()
     facts = customer_facts(tickets, distinct).observe(
         seen,
@@ -99,7 +139,7 @@ def rfm_batch(
         F.count(F.lit(1)).alias("customers"),
         F.count_if(F.col("last_date").isNull()).alias("undated"),
     )
-    with small_tasks(scratch.spark):
+    with small_tasks(scratch.spark), transient_shuffles(scratch.spark):
         written = scratch.table(facts, "facts")
     found = seen.get
     day = found.get("last_date") if as_of is None else as_of

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketry.functions.columns import SEGMENTS
 from basketry.functions.quantiles import exact_quantiles
-from basketry.functions.storage import Scratch
+from basketry.functions.storage import Scratch, transient_shuffles
 from basketry.operators import insights, people, rfm, segments
 from basketry.operators.scoring import SCORES, score_customers
 from basketry.operators.dataset import RetailTables
@@ -68,11 +68,14 @@ def rfm_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Compressed files cannot be split, so their number of lines bounds what a task reads.
 FILE_LINES = 50_000
+COMPRESSION = "gzip"
 
 
 def _write_tickets(tickets: DataFrame, path: str) -> None:
-    """Ticket files as a batch would get them: compressed JSON, each of few lines."""
-    tickets.write.option("compression", "gzip").option("maxRecordsPerFile", FILE_LINES).json(path)
+    """Ticket files as a batch would get them: compressed JSON, each of few lines. The shuffle
+    files of the tickets go with the write."""
+    with transient_shuffles(tickets.sparkSession):
+        tickets.write.option("compression", COMPRESSION).option("maxRecordsPerFile", FILE_LINES).json(path)
 
 
 def json_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,6 +191,7 @@ def _trained(spark: SparkSession, sf_dir: str, **layout: bool) -> str:
         model_output=f"{folder}/model",
         quartile_output=f"{folder}/quartiles",
         prediction_output=f"{folder}/trained",
+        prediction_compression=COMPRESSION,
         **PERCENTILES,
         **layout,
     )
@@ -203,6 +207,7 @@ def _batch_labelled(spark: SparkSession, sf_dir: str, **layout: bool) -> DataFra
         model_input=f"{folder}/model",
         quartile_input=f"{folder}/quartiles",
         prediction_output=f"{folder}/batch",
+        prediction_compression=COMPRESSION,
         **layout,
     )
     return _labels(read_predictions(spark, f"{folder}/batch/all"))

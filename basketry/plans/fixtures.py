@@ -36,13 +36,18 @@ def tickets(
     these customers without a ticket. ``numbered`` adds a field that numbers the copies
     of a line where the order is divisible by 20, and is the same in all copies elsewhere.
     """
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    discount = F.col("l_discount").cast("decimal(4,2)")
+    price, discount = F.col("price"), F.col("discount")
     customer = F.col("o_custkey")
     if anonymous:
         customer = _known(customer)
     copies = F.when(F.col("l_orderkey") % 10 == 0, 2).otherwise(1)
-    lines = _read(spark, sf_dir, "lineitem")
+    # Cast before the join: these decimals are smaller than doubles in its shuffle.
+    lines = _read(spark, sf_dir, "lineitem").withColumns(
+        {
+            "price": F.col("l_extendedprice").cast("decimal(12,2)"),
+            "discount": F.col("l_discount").cast("decimal(4,2)"),
+        }
+    )
     orders = _read(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("ticketid"),
         customer.alias("customerid"),

@@ -48,6 +48,7 @@ def train(
     plain_folders: bool = False,
     quartile_folders: bool = False,
     scaler_output: str | None = None,
+    prediction_compression: str | None = None,
 ) -> TrainSummary:
     """Learns thresholds and segments from ticket lines and writes all results.
 
@@ -74,7 +75,10 @@ def train(
         fit = fit_segments(features, scaled_seeds(seed_scores(scored), scaler))
         writers.write_model(spark, fit.model, model_output)
         writers.write_predictions(
-            assign(features, fit.centroids), prediction_output, plain_folders=plain_folders
+            assign(features, fit.centroids),
+            prediction_output,
+            plain_folders=plain_folders,
+            compression=prediction_compression,
         )
     return TrainSummary(bounds, audit, quartiles, fit)
 
@@ -90,6 +94,7 @@ def run(
     plain_folders: bool = False,
     quartile_folders: bool = False,
     scaler_input: str | None = None,
+    prediction_compression: str | None = None,
 ) -> None:
     """Labels the customers of a batch with saved thresholds and a saved model.
 
@@ -105,7 +110,10 @@ def run(
         table = rfm_batch(tickets, scratch, as_of).table
         features, _ = standardise(score_customers(table, quartiles), scaler)
         writers.write_predictions(
-            assign(features, centroids), prediction_output, plain_folders=plain_folders
+            assign(features, centroids),
+            prediction_output,
+            plain_folders=plain_folders,
+            compression=prediction_compression,
         )
 
 

@@ -115,85 +115,68 @@ def _read_lines(
 ) -> DataFrame:
     """Lines of JSON, see :func:`read_tickets`.
 
-    Plain lines are told by :func:`_plain` and have their fields taken as they are. All others
-    are parsed as a VARIANT, which costs several times as much; a plain line would give the
-    same there. That part is made of lambdas, so that the code compiled for plain lines is small.
+    Plain lines are told by :func:`_plain` and read as they are. All others are parsed as a
+    VARIANT, which costs several times as much; a plain line would give the same there. That
+    part is made of lambdas, so that the code compiled for plain lines is small.
     """
     _check_invalid(invalid)
     blank = F.trim("line", F.lit(" \t\r\n")) == ""
     lines = spark.read.text(path).select(F.col("value").alias("line")).where(~blank)
-    direct = [f for f in schema if isinstance(f.dataType, (T.StringType, T.IntegralType))]
-    numbers = [f.name for f in schema if f not in direct]
-    found = F.from_json("line", T.StructType(direct), {"allowNonNumericNumbers": "false"}).alias("found")
-    told = lines.select("line", found, *[_token("line", name).alias(name) for name in numbers])
-    told = told.select("*", _start(schema, numbers).alias("start"), F.concat_ws(" ", *numbers).alias("numbers"))
-    told = told.select("*", _rest("line", "start").alias("rest"))
-    told = told.select("*", _plain("numbers", "rest", schema, ignore).alias("plain"))
-    own = [
-        F.col(f.name).try_cast(f.dataType).alias(f.name) if f.name in numbers else F.col("found")[f.name].alias(f.name)
-        for f in schema
-        if f.name not in ignore
-    ]
-    other = F.when(F.length("rest") > 1, F.concat(F.lit("{"), F.substring("rest", 2, PLAIN_LENGTH))).alias(OTHER_FIELDS)
+    start = _start(schema)
+    exact = F.col("line").rlike(rf"{start}\}}\z")
+    told = lines.select("line", exact.alias("exact"))
+    behind = F.regexp_extract("line", rf"{start}(?<=,)({_further(schema, ignore)}\}})\z", 1)
+    told = told.select("*", F.when(~F.col("exact"), behind).alias("behind"))
+    told = told.select("*", _plain("exact", "behind").alias("plain"))
+    own = F.from_json("line", schema, {"allowNonNumericNumbers": "false"})
     rows = told.select(
         "plain",
-        F.when(F.col("plain"), F.struct(*own, other)).alias("own"),
-        F.when(~F.col("plain"), _parsed(F.col("line"), schema, ignore)).alias("parsed"),
+        "behind",
+        F.when(F.col("plain"), own).alias("own"),
+        F.when(~F.col("plain"), _typed(_parsed(F.col("line"), schema, ignore), schema)).alias("parsed"),
     )
-    texts = T.StructType([T.StructField(name, T.StringType()) for name in schema.names])
-    single = F.array(F.struct(F.lit(None).cast(texts).alias("known"), F.col(f"own.{OTHER_FIELDS}").alias(OTHER_FIELDS)))
-    each = rows.select("plain", "own", F.inline(F.when(F.col("plain"), single).otherwise(F.col("parsed"))))
-    return each.select(
+    each = rows.select("plain", "behind", "own", F.explode_outer("parsed").alias("each"))
+    other = F.when(F.col("plain"), F.concat(F.lit("{"), F.col("behind"))).otherwise(F.col(f"each.{OTHER_FIELDS}"))
+    return each.where(F.col("plain") | F.col("each").isNotNull()).select(
         *[
-            F.when(F.col("plain"), F.col("own")[f.name])
-            .otherwise(_checked_value(f, F.col("known")[f.name], T.StringType(), invalid))
-            .alias(f.name)
+            F.when(F.col("plain"), F.col("own")[f.name]).otherwise(_valid(f, invalid)).alias(f.name)
             for f in schema
             if f.name not in ignore
         ],
-        OTHER_FIELDS,
+        other.alias(OTHER_FIELDS),
     )
 
 
-PLAIN_LENGTH = 4096  # of the part behind the known fields
-_NUMBER = r"(?:-(?=[0-9.]*[1-9]))?[0-9]{1,17}(?:\.[0-9]{1,10})?"
-
+# Values of plain lines: what JSON's readers take as it is, and whose text is that of its VARIANT.
+_WHOLE = r"(?:0|-?[1-9][0-9]{0,16}+)"
+_NUMBER = r"(?:-(?=[0-9.]*[1-9]))?+(?:0|[1-9][0-9]{0,16}+)(?:\.[0-9]{1,10}+)?+"
+_TEXT = r'"[ !#-\[\]-~\p{L}]*+"'
+_PLAIN_VALUES = {"bigint": _WHOLE, "double": _NUMBER, "string": _TEXT}
 
-def _token(line: str, name: str) -> Column:
-    """What stands in the line for a field, up to the next comma; null without the field."""
-    key = F.lit(f'"{name}":')
-    behind = F.substring_index(F.substring_index(line, f'"{name}":', -1), ",", 1)
-    return F.when(F.contains(F.col(line), key), F.rtrim(behind, F.lit("}")))
 
+def _plain_value(field: T.StructField) -> str:
+    """Pattern of the values of a field; one that matches nothing for types without plain values."""
+    if field.dataType == schemas.AMOUNT:
+        return _NUMBER
+    return _PLAIN_VALUES.get(field.dataType.simpleString(), "(?!)")
 
-def _start(schema: T.StructType, numbers: Sequence[str]) -> Column:
-    """How a line without blanks and escapes begins that holds the values found, in the order
-    of the schema."""
-    parts = []
-    for f in schema:
-        value = F.col(f.name) if f.name in numbers else F.col("found")[f.name].cast("string")
-        quote = F.lit('"' if isinstance(f.dataType, T.StringType) else "")
-        parts.append(F.concat(F.lit(f'"{f.name}":'), quote, value, quote))
-    return F.concat(F.lit("{"), F.concat_ws(",", *parts))
 
+def _start(schema: T.StructType) -> str:
+    """Pattern of the known fields of a plain line: each at most once, in the order of the
+    schema, without blanks, and what follows is another field or the end of the line's object."""
+    fields = [rf'(?:"{re.escape(f.name)}":{_plain_value(f)}(?:,(?=")|(?=\}})))?+' for f in schema]
+    return rf"\A\{{{''.join(fields)}"
 
-def _rest(line: str, start: str) -> Column:
-    """What follows ``start`` in the line; null if the line begins otherwise."""
-    behind = F.substr(F.col(line), F.length(start) + 1)
-    return F.when((F.length(start) > 1) & F.startswith(F.col(line), F.col(start)), behind)
 
+def _further(schema: T.StructType, ignore: Sequence[str]) -> str:
+    """Pattern of one field that is not known, a whole number or a text without escapes."""
+    names = "|".join(re.escape(name) for name in (*schema.names, *ignore))
+    return rf'"(?!(?:{names})")\w++":(?:{_WHOLE}|"[A-Za-z][A-Za-z0-9 _.:-]*+")'
 
-def _plain(numbers: str, rest: str, schema: T.StructType, ignore: Sequence[str]) -> Column:
-    """True where numbers are written so that their text is that of their VARIANT and fits their
-    type, and at most one field follows, a whole number or a text without escapes.
 
-    Such a line is all known: no field comes twice, as ``rest`` may not name a known one.
-    """
-    fits = F.col(numbers).rlike(rf"\A(?:{_NUMBER}(?: {_NUMBER})*)?\z")
-    names = "|".join(re.escape(name) for name in (*schema.names, *ignore))
-    one = rf'\A,"(?!(?:{names})")\w+":(?:0|-?[1-9][0-9]{{0,16}}|"[A-Za-z][A-Za-z0-9 _.:-]*")\}}\z'
-    single = (F.length(rest) <= PLAIN_LENGTH) & F.col(rest).rlike(one)
-    return F.coalesce(((F.col(rest) == "}") | single) & fits, F.lit(False))
+def _plain(exact: str, behind: str) -> Column:
+    """True for a line of known fields alone, or with one plain field behind them."""
+    return F.col(exact) | (F.col(behind) != "")
 
 
 def _parsed(line: Column, schema: T.StructType, ignore: Sequence[str]) -> Column:
@@ -221,6 +204,31 @@ def _parsed(line: Column, schema: T.StructType, ignore: Sequence[str]) -> Column
     )
 
 
+def _typed(rows: Column, schema: T.StructType) -> Column:
+    """:func:`_parsed` rows with known values in their types, and what is ``said`` of a value
+    that its type does not hold."""
+
+    def typed(row: Column) -> Column:
+        known = [(f, row["known"][f.name], _cast_value(f, row["known"][f.name], T.StringType())) for f in schema]
+        return F.struct(
+            F.struct(*[cast.alias(f.name) for f, _, cast in known]).alias("known"),
+            F.struct(
+                *[F.when(value.isNotNull() & cast.isNull(), _complaint(f, value)).alias(f.name) for f, value, cast in known]
+            ).alias("said"),
+            row[OTHER_FIELDS].alias(OTHER_FIELDS),
+        )
+
+    return F.transform(rows, typed)
+
+
+def _valid(field: T.StructField, invalid: str) -> Column:
+    """The value of a field of a :func:`_typed` row, which stops the job if something is said of it."""
+    value, said = F.col("each.known")[field.name], F.col("each.said")[field.name]
+    if invalid == "null":
+        return value
+    return F.when(said.isNull(), value).otherwise(F.raise_error(said).cast(field.dataType))
+
+
 def _canonical(fields: Column, without: set[str]) -> Column:
     """JSON text of a map of VARIANT values, the same for equal content."""
     texts = F.transform_values(
@@ -308,9 +316,10 @@ def _checked_value(field: T.StructField, value: Column, given: T.DataType, inval
     cast = _cast_value(field, value, given)
     if invalid == "null" or given == field.dataType:
         return cast
-    said = F.concat(
-        F.lit(f"{field.name} is no {field.dataType.simpleString()}: "), value.cast("string")
-    )
     return F.when(value.isNull() | cast.isNotNull(), cast).otherwise(
-        F.raise_error(said).cast(field.dataType)
+        F.raise_error(_complaint(field, value)).cast(field.dataType)
     )
+
+
+def _complaint(field: T.StructField, value: Column) -> Column:
+    return F.concat(F.lit(f"{field.name} is no {field.dataType.simpleString()}: "), value.cast("string"))

@@ -13,7 +13,11 @@ from basketry.operators.rfm import METRICS, Thresholds, thresholds_frame
 
 
 def write_predictions(
-    predictions: DataFrame, path: str, fmt: str = "json", plain_folders: bool = False
+    predictions: DataFrame,
+    path: str,
+    fmt: str = "json",
+    plain_folders: bool = False,
+    compression: str | None = None,
 ) -> None:
     """All customers under ``all``, and the customers of each segment apart.
 
@@ -22,6 +26,7 @@ def write_predictions(
     Either way ``predictions`` are computed once and written by one job: each row leaves it
     for both of its folders. The folders are written under a name of their own and then
     take their places; if one of them cannot, those that were there before come back.
+    ``compression`` names a codec of the format, by default the format's own choice.
     """
     spark = predictions.sparkSession
     target = path.rstrip("/")
@@ -35,7 +40,8 @@ def write_predictions(
     )
     files = _FileSystem(spark, target)
     try:
-        rows.write.partitionBy("_kind", "_name").format(fmt).save(work)
+        options = {"compression": compression} if compression else {}
+        rows.write.partitionBy("_kind", "_name").format(fmt).options(**options).save(work)
         moves = _moves(files, work, target, plain_folders)
         files.replace(moves, f"{work}/old")
     finally:
